@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -130,9 +131,26 @@ def test_yyyymmdd(spark):
 
 def test_date_formats(spark):
     values = ["2026-01-15", "12-02-2026", "2026/03/20", " 2026-1-5 ", "invalid_date", "", None, "2026-02-30"]
-    assert one_column(spark, values, "string", dates.parse_date) == [
-        dt.date(2026, 1, 15), dt.date(2026, 2, 12), dt.date(2026, 3, 20), dt.date(2026, 1, 5), None, None, None, None,
-    ]
+    want = [dt.date(2026, 1, 15), dt.date(2026, 2, 12), dt.date(2026, 3, 20), dt.date(2026, 1, 5), None, None, None, None]
+    assert one_column(spark, values, "string", dates.parse_date) == want
+    sql.register(spark)
+    assert one_column(spark, values, "string", lambda c: F.call_function("parse_date_safe", c)) == want
+    # A short year counts as a year, so the first format wins; nothing else is tried for year 0 or extra text.
+    odd = ["05-06-26", "0000-01-01", "2026-01-15x", "2026-01-15 10:00:00", "31/12/2026", "2026-001-05"]
+    assert one_column(spark, odd, "string", dates.parse_date) == [dt.date(5, 6, 26), None, None, None, None, None]
+
+
+def test_dates_agree_with_the_format_driven_parse(spark):
+    rng = random.Random(5)
+    texts = []
+    for _ in range(400):
+        y, m, d = rng.randint(1, 3000), rng.randint(0, 14), rng.randint(0, 33)
+        pad = rng.choice(["", "02"])
+        y, m, d = f"{y}", f"{m:{pad}}", f"{d:{pad}}"
+        texts.append(rng.choice([f"{y}-{m}-{d}", f"{d}-{m}-{y}", f"{y}/{m}/{d}"]))
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    slow = F.coalesce(*[F.try_to_date("t", f) for f in dates.DATE_FORMATS])
+    assert df.where(~dates.parse_date("t").eqNullSafe(slow)).collect() == []
 
 
 def test_date_windows(spark):

@@ -18,9 +18,8 @@ def safe_long(c: Column | str) -> Column:
 def hard_long(c: Column | str) -> Column:
     """Trimmed text as a long; the job fails on anything else."""
     text = ws_trim(c)
-    value = text.try_cast("bigint")
-    message = F.concat(F.lit("not an integer: "), text)
-    return F.when(text.isNotNull() & value.isNull(), F.raise_error(message).cast("bigint")).otherwise(value)
+    bad = F.raise_error(F.concat(F.lit("not an integer: "), text)).cast("bigint")
+    return F.coalesce(text.try_cast("bigint"), F.when(text.isNotNull(), bad))
 
 
 def parse_price(c: Column | str) -> Column:
@@ -70,5 +69,4 @@ def divide_or(numerator: Column | str, denominator: Column | str, fallback: floa
 def cast_or(c: Column | str, data_type: str, fallback: object) -> Column:
     """Cast with `fallback` where the value does not convert (NULL stays NULL)."""
     col = _col(c)
-    value = col.try_cast(data_type)
-    return F.when(col.isNotNull() & value.isNull(), F.lit(fallback).cast(data_type)).otherwise(value)
+    return F.coalesce(col.try_cast(data_type), F.when(col.isNotNull(), F.lit(fallback).cast(data_type)))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from tierhouse.functions.dates import DATE_FORMATS
+from tierhouse.functions.dates import DATE_FORMATS, date_shape
 from tierhouse.functions.text import WHITESPACE
 
 _TRIM = "btrim({0}, '" + "".join(f"\\u{ord(ch):04x}" for ch in WHITESPACE) + "')"
@@ -17,9 +17,12 @@ def _trimmed(name: str) -> str:
     return _TRIM.format(name)
 
 
+def _parsed(text: str, fmt: str) -> str:
+    return f"CASE WHEN {text} RLIKE r'{date_shape(fmt)}' THEN try_to_date({text}, '{fmt}') END"
+
+
 def _definitions() -> dict[str, str]:
     gender, price, day = _trimmed("p_gender_str"), _trimmed("p_price_str"), _trimmed("p_date_str")
-    formats = ", ".join(f"try_to_date({day}, '{f}')" for f in DATE_FORMATS)
     return {
         "clean_gender(p_gender_str STRING) RETURNS STRING": (
             f"CASE lower({gender}) WHEN 'm' THEN 'Male' WHEN 'male' THEN 'Male' "
@@ -28,7 +31,9 @@ def _definitions() -> dict[str, str]:
         "clean_price(p_price_str STRING) RETURNS DECIMAL(38,9)": (
             f"coalesce(try_cast(replace({price}, '$', '') AS DECIMAL(38,9)), CAST(0 AS DECIMAL(38,9)))"
         ),
-        "parse_date_safe(p_date_str STRING) RETURNS DATE": f"coalesce({formats})",
+        "parse_date_safe(p_date_str STRING) RETURNS DATE": (
+            f"coalesce({', '.join(_parsed(day, f) for f in DATE_FORMATS)})"
+        ),
         "calculate_final_score(p_theory_score DECIMAL(28,9), p_lab_score DECIMAL(28,9)) RETURNS DECIMAL(38,9)": (
             "CASE WHEN p_theory_score < 0 OR p_lab_score < 0 "
             "THEN CAST(raise_error('Scores cannot be negative') AS DECIMAL(38,9)) "

@@ -31,9 +31,19 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _plain(char: Column) -> Column:
+    return F.ascii(char).between(33, 126)
+
+
 def ws_trim(c: Column | str) -> Column:
-    """Trim all whitespace; Spark's own trim() only removes U+0020."""
-    return F.btrim(_col(c), F.lit(WHITESPACE))
+    """Trim all whitespace; Spark's own trim() only removes U+0020.
+
+    Text that already starts and ends with a printable ASCII character after
+    the fast blank trim skips the slower search of the whole set.
+    """
+    text = F.trim(_col(c))
+    clean = _plain(text) & _plain(F.substring(text, -1, 1))
+    return F.when(clean, text).otherwise(F.btrim(text, F.lit(WHITESPACE)))
 
 
 def decode(

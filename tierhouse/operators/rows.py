@@ -22,7 +22,7 @@ def explode_range(df: DataFrame, first: Column, last: Column, step: Column | int
     """
     step = F.lit(step) if isinstance(step, int) else step
     reachable = F.when(step > 0, first <= last).otherwise(first >= last)
-    return df.where(reachable).withColumn(name, F.explode(F.sequence(first, last, step)))
+    return df.withColumn(name, F.explode(F.when(reachable, F.sequence(first, last, step))))
 
 
 def skip_and_stop(df: DataFrame, keys: list[str], position: str, skip: Column, stop: Column) -> DataFrame:

@@ -10,7 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierhouse.functions.text import template
@@ -128,7 +128,8 @@ def run_independent(audit: Audit, steps: list[Step], at_once: int = 4) -> None:
             run_step(audit, step)
         return
     with ThreadPoolExecutor(max_workers=at_once) as pool:
-        outcomes = list(pool.map(lambda s: inheritable_thread_target(_timed)(s), steps))
+        timed = inheritable_thread_target(SparkSession.active())(_timed)
+        outcomes = list(pool.map(timed, steps))
     errors = [_record(audit, s, o) for s, o in zip(steps, outcomes)]
     first = next((e for e in errors if e is not None), None)
     if first is not None:
