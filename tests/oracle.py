@@ -31,11 +31,22 @@ def _table(arrow):
     return names, types, rows
 
 
+# No Python stage, no cross join and no nested loop in any plan.
+FORBIDDEN = (
+    "EvalPython MapInPandas MapInArrow FlatMapGroupsIn CartesianProduct BroadcastNestedLoopJoin".split()
+)
+
+
 def compare(spark, con, name: str, folder: str) -> tuple[str, float]:
     """('' or what differs, seconds of the Spark side)."""
     start = time.time()
-    got = spark_entry.queries()[name](spark, folder).toArrow()
+    df = spark_entry.queries()[name](spark, folder)
+    got = df.toArrow()
     seconds = time.time() - start
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    found = [node for node in FORBIDDEN if node in plan]
+    if found:
+        return f"plan has {found}", seconds
     sql = spark_entry.oracle_sql().get(name)
     if sql is None:
         return ("" if got.num_rows else "no rows"), seconds

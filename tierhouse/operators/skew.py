@@ -12,6 +12,8 @@ from tierhouse.scratch import written
 
 # A window group up to this size is left to one task (windows spill to disk).
 HOT_ROWS = 2_000_000
+# How often a key of that size is expected in the sample that looks for hot keys.
+SAMPLED_HITS = 200
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -20,14 +22,21 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys with more than `hot_rows` rows, or None.
+    """Keys with about `hot_rows` rows or more, or None.
 
-    Reads only the key columns and counts map-side first. At most
-    rows / hot_rows keys can qualify; they are written out so that every later
-    use sees the same set and its true size.
+    Only the key columns are scanned. A key that large shows up some 200 times
+    in the sample, so the shuffle is tiny; a borderline key may fall on either
+    side, which changes the plan for its rows and never the result. At most
+    2 * rows / hot_rows keys can qualify. They are written, so that every later
+    use sees the same set and Spark knows its true size.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = written(counts.where(F.col("_rows") > hot_rows).select(*keys), "hot-keys")
+    fraction = min(1.0, SAMPLED_HITS / hot_rows)
+    seen = df.select(*keys)
+    if fraction < 1.0:
+        seen = seen.sample(fraction, seed=1)
+    limit = hot_rows if fraction == 1.0 else SAMPLED_HITS // 2
+    counts = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = written(counts.where(F.col("_rows") > limit).select(*keys), "hot-keys")
     return None if hot.isEmpty() else hot
 
 
