@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 import random
 from decimal import Decimal
 
@@ -13,6 +14,7 @@ from tierhouse.operators.history import current_rows, validity_end
 from tierhouse.operators.keys import continue_keys, highest_key, surrogate_key
 from tierhouse.operators.ordered import neighbour, range_sequence, running_total
 from tierhouse.operators.skew import hot_keys, split_hot
+from tierhouse.scratch import drop_scratch, written
 
 D = dt.date
 
@@ -319,3 +321,11 @@ def test_conditional_update_ignores_unknown_keys(spark):
         (1, "Alice", Decimal(85), False),
         (2, "Bob", None, True),
     }
+
+
+def test_scratch_can_be_dropped(spark):
+    df = written(spark.range(3), "x")
+    path = df.inputFiles()[0]
+    assert drop_scratch(spark)
+    assert not os.path.exists(path.removeprefix("file://"))
+    assert written(spark.range(3), "x").count() == 3

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tierhouse.scratch import written
 
 # A window group up to this size is left to one task (windows spill to disk).
-HOT_ROWS = 2_000_000
+HOT_ROWS = 10_000_000
 # How often a key of that size is expected in the sample that looks for hot keys.
 SAMPLED_HITS = 200
 

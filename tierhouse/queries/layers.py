@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tierhouse.plans import gold, silver
 from tierhouse.operators.keys import continue_keys, surrogate_key
+from tierhouse.plans import gold, silver
 from tierhouse.queries.registry import plain, query
-from tierhouse.sources.warehouse import timestamp_lit
+from tierhouse.scratch import scratch_path
+from tierhouse.sources.warehouse import timestamp_lit, write_by_month
 
 AS_OF = "1998-07-15"
 WS = "' ' || chr(9)"
@@ -235,6 +236,18 @@ def gold_fact_sales_month(src):
     return _gold_sales(src, "month")
 
 
+_MONTHS = f"""SELECT order_number, product_key, customer_key, order_date, sales_amount,
+  CAST(date_trunc('month', order_date) AS DATE) AS order_month FROM ({G_SALES}) f"""
+
+
+@query("gold_fact_by_month", _MONTHS)
+def gold_fact_by_month(src):
+    path = scratch_path(src.spark, "fact-by-month")
+    write_by_month(_gold_sales(src, "all"), path, "order_date", ["customer_key", "product_key"])
+    columns = ["order_number", "product_key", "customer_key", "order_date", "sales_amount", "order_month"]
+    return src.spark.read.parquet(path).select(columns)
+
+
 # Customers last seen from 2001 on count as loaded today and are appended once more.
 @query(
     "gold_append_customers",

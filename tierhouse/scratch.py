@@ -26,9 +26,13 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/tierhouse/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, not yet existing path under the shared folder."""
-    return f"{scratch_root(spark)}/tierhouse/{label}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -37,3 +41,10 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> bool:
+    """Delete this application's intermediate tables, once no DataFrame still reads them."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    return folder.getFileSystem(conf).delete(folder, True)

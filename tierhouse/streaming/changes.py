@@ -1,7 +1,8 @@
 """A change feed applied batch by batch, with its log.
 
-State is kept as appended row versions: a batch only writes the keys it
-touched, so its cost follows the batch and not the table.
+State is kept as appended row versions: a batch scans it for the keys it
+touches but writes only those, never the whole table. compact() starts a new
+base when many versions have piled up.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tierhouse.operators.changes import ChangeSpec, apply_feed, feed_log
 from tierhouse.operators.dedupe import keep_latest
 from tierhouse.operators.skew import HOT_ROWS
+from tierhouse.scratch import written
 from tierhouse.sources.warehouse import timestamp_lit
 from tierhouse.streaming.files import landing_stream
 
@@ -68,17 +70,16 @@ class ChangeTable:
     def apply(self, feed: DataFrame, batch_id: int, run_ts: str) -> None:
         """Apply one batch. Every output folder is named by the batch, so repeating it replaces them."""
         spark, key = feed.sparkSession, self.spec.key
-        keys = feed.select(key).distinct()
-        before = self._newest(self._state(spark, batch_id).join(keys, key, "left_semi"))
+        last_op = feed.groupBy(key).agg(F.max_by(self.spec.op, self.spec.seq).alias("_last_op"))
+        touched = self._state(spark, batch_id).join(last_op.select(key), key, "left_semi")
+        # Read by the log and by the new state: written once, as large as the batch's keys.
+        before = written(self._newest(touched), "before-batch")
         log = feed_log(before, feed, self.spec, self.hot_rows).withColumn("changed_at", timestamp_lit(run_ts))
         log.write.mode("overwrite").parquet(f"{self.log_path}/{VERSION}={batch_id}")
-        after = apply_feed(before, feed, self.spec, timestamp_lit(run_ts))
-        kept = after.withColumn(GONE, F.lit(False))
-        lost = keys.join(after.select(key), key, "left_anti").select(
-            *[(F.col(key) if f.name == key else F.lit(None).cast(f.dataType)).alias(f.name) for f in self.schema.fields],
-            F.lit(True).alias(GONE),
-        )
-        self._write_state(kept.unionByName(lost), batch_id)
+        kept = apply_feed(before, feed, self.spec, timestamp_lit(run_ts)).withColumn(GONE, F.lit(False))
+        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields if f.name != key]
+        gone = last_op.where(F.col("_last_op") == "delete").select(key, *empty, F.lit(True).alias(GONE))
+        self._write_state(kept.unionByName(gone), batch_id)
 
     def compact(self, spark: SparkSession, target: ChangeTable) -> None:
         """Current rows as the base of another table folder."""
