@@ -20,11 +20,11 @@ AS_OF = D(2014, 1, 31)
 
 FILES = {
     "source_crm/cust_info.csv": """cst_id,cst_key,cst_firstname,cst_lastname,cst_marital_status,cst_gndr,cst_create_date
-11000,AW00011000, Jon,Yang , s,M,2025-10-06
-11001,AW00011001,Eugene ,o-brien,S,f ,2025-10-06
-11001,AW00011001,Eugene,Huang-Late,M,x,2025-10-09
-11002,AW00011002,Ruben,Torres,,,2025-10-07
-,SF566,No,Key,M,M,2025-10-07
+500,CU00000500, Ann,Field , s,M,2025-10-06
+501,CU00000501,Ben ,o-brien,S,f ,2025-10-06
+501,CU00000501,Ben,Stone-Late,M,x,2025-10-09
+502,CU00000502,Cyd,Brook,,,2025-10-07
+,XX1,No,Key,M,M,2025-10-07
 """,
     "source_crm/prd_info.csv": """prd_id,prd_key,prd_nm,prd_cost,prd_line,prd_start_dt,prd_end_dt
 210,CO-RF-FR-R92B-58,HL Road Frame - Black- 58,,R ,2003-07-01,
@@ -36,24 +36,24 @@ FILES = {
 217,BI-MB-BK-X,Plain,10,,2013-07-01,
 """,
     "source_crm/sales_details.csv": """sls_ord_num,sls_prd_key,sls_cust_id,sls_order_dt,sls_ship_dt,sls_due_dt,sls_sales,sls_quantity,sls_price
-SO1,HL-U509-R,11000,20140105,20140112,20140117,10,2,5
-SO2,HL-U509-R,11001,20140106,20140112,20140117,,2,5
-SO3,BK-T18U-54,11002,20131229,20140105,20140110,,2,
-SO4,BK-T18U-54,11000,0,20140105,20140110,10,2,
-SO5,NOPE,11000,2014010,20140105,20140110,0,2,
+SO1,HL-U509-R,500,20140105,20140112,20140117,10,2,5
+SO2,HL-U509-R,501,20140106,20140112,20140117,,2,5
+SO3,BK-T18U-54,502,20131229,20140105,20140110,,2,
+SO4,BK-T18U-54,500,0,20140105,20140110,10,2,
+SO5,NOPE,500,2014010,20140105,20140110,0,2,
 SO6,BK-T18U-54,99999,20140108,20140109,20140110,7,2,-5
 SO7,BK-T18U-54,,20140131,20140201,20140202,10,0,
-SO8,BK-X,11001,20140201,20140205,20140210,-10,2,0
+SO8,BK-X,501,20140201,20140205,20140210,-10,2,0
 """,
     "source_erp/CUST_AZ12.csv": """CID,BDATE,GEN
-NASAW00011000,1971-10-06,Male
-AW00011001,2099-01-01,Female
-NASAW00011002,1971-02-09,F
+NASCU00000500,1971-10-06,Male
+CU00000501,2099-01-01,Female
+NASCU00000502,1971-02-09,F
 """,
     "source_erp/LOC_A101.csv": """CID,CNTRY
-AW-00011000,DE
-AW-00011001,USA
-AW-00011002, Canada
+CU-00000500,DE
+CU-00000501,USA
+CU-00000502, Canada
 """,
     # No newline at the end of the last line.
     "source_erp/PX_CAT_G1V2.csv": """ID,CAT,SUBCAT,MAINTENANCE
@@ -130,9 +130,9 @@ def test_quoted_empty_text_is_not_null(spark, tmp_path):
 def test_silver_tables(loaded):
     read = lambda n: loaded.read(SILVER[n])
     assert rows(read("crm_cust_info").drop("dwh_create_date")) == [
-        (11000, "AW00011000", "Jon", "Yang", "Single", "Male", D(2025, 10, 6)),
-        (11001, "AW00011001", "Eugene", "Huang-Late", "Married", "n/a", D(2025, 10, 9)),
-        (11002, "AW00011002", "Ruben", "Torres", "n/a", "n/a", D(2025, 10, 7)),
+        (500, "CU00000500", "Ann", "Field", "Single", "Male", D(2025, 10, 6)),
+        (501, "CU00000501", "Ben", "Stone-Late", "Married", "n/a", D(2025, 10, 9)),
+        (502, "CU00000502", "Cyd", "Brook", "n/a", "n/a", D(2025, 10, 7)),
     ]
     products = {r.prd_id: tuple(r)[1:8] for r in read("crm_prd_info").collect()}
     assert products[210] == ("CO_RF", "FR-R92B-58", "HL Road Frame - Black- 58", 0, "Road", D(2003, 7, 1), None)
@@ -146,10 +146,10 @@ def test_silver_tables(loaded):
     }
     assert sales["SO4"].sls_order_dt is None and sales["SO5"].sls_order_dt is None
     assert rows(read("erp_cust_az12").drop("dwh_create_date")) == [
-        ("AW00011000", D(1971, 10, 6), "Male"), ("AW00011001", None, "Female"), ("AW00011002", D(1971, 2, 9), "Female"),
+        ("CU00000500", D(1971, 10, 6), "Male"), ("CU00000501", None, "Female"), ("CU00000502", D(1971, 2, 9), "Female"),
     ]
     assert rows(read("erp_loc_a101").drop("dwh_create_date")) == [
-        ("AW00011000", "Germany"), ("AW00011001", "United States"), ("AW00011002", "Canada"),
+        ("CU00000500", "Germany"), ("CU00000501", "United States"), ("CU00000502", "Canada"),
     ]
     stamps = {r[0] for n in SILVER for r in read(n).select("dwh_create_date").distinct().collect()}
     assert stamps == {RUN_TS}
@@ -158,15 +158,15 @@ def test_silver_tables(loaded):
 def test_scheduled_silver_options(loaded):
     bronze_rows = loaded.read(BRONZE["crm_cust_info"])
     got = {r.cst_id: r for r in silver.customers(bronze_rows, silver.SCHEDULED).collect()}
-    assert len(got) == 3 and got[11001].cst_lastname in ("Huang-Late", "O-Brien")
+    assert len(got) == 3 and got[501].cst_lastname in ("Stone-Late", "O-Brien")
 
 
 def test_gold_full_create_and_append(loaded):
     gold.load(loaded, RUN_TS, AS_OF)
     assert rows(loaded.read(GOLD["dim_customers"])) == [
-        (1, 11000, "AW00011000", "Jon", "Yang", "Germany", "Single", "Male", D(1971, 10, 6), D(2025, 10, 6)),
-        (2, 11001, "AW00011001", "Eugene", "Huang-Late", "United States", "Married", "Female", None, D(2025, 10, 9)),
-        (3, 11002, "AW00011002", "Ruben", "Torres", "Canada", "n/a", "Female", D(1971, 2, 9), D(2025, 10, 7)),
+        (1, 500, "CU00000500", "Ann", "Field", "Germany", "Single", "Male", D(1971, 10, 6), D(2025, 10, 6)),
+        (2, 501, "CU00000501", "Ben", "Stone-Late", "United States", "Married", "Female", None, D(2025, 10, 9)),
+        (3, 502, "CU00000502", "Cyd", "Brook", "Canada", "n/a", "Female", D(1971, 2, 9), D(2025, 10, 7)),
     ]
     products = [(r.product_key, r.product_number, r.category) for r in loaded.read(GOLD["dim_products"]).orderBy("product_key").collect()]
     assert products == [

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tierhouse.functions import dates
+from tierhouse.functions.text import decode
 from tierhouse.operators import joins, validation
 from tierhouse.operators.dedupe import keep_any, keep_latest
 from tierhouse.operators.history import current_rows, validity_end
@@ -111,12 +112,9 @@ SEGMENTS = {"BUILDING": "Building", "MACHINERY": "Machinery"}
 
 
 def customer_dimension(src):
-    from tierhouse.functions.text import decode
-
     unique = keep_latest(src.customer, ["c_custkey"], [], tie_break=["c_name", "c_nationkey"])
-    nation = src.nation
     with_nation = joins.lookup(
-        unique, nation, {"c_nationkey": "n_nationkey"}, {"nation": "n_name", "_regionkey": "n_regionkey"}
+        unique, src.nation, {"c_nationkey": "n_nationkey"}, {"nation": "n_name", "_regionkey": "n_regionkey"}
     )
     with_region = joins.lookup(with_nation, src.region, {"_regionkey": "r_regionkey"}, {"region": "r_name"})
     rows = with_region.select(
