@@ -329,3 +329,31 @@ def test_scratch_can_be_dropped(spark):
     assert drop_scratch(spark)
     assert not os.path.exists(path.removeprefix("file://"))
     assert written(spark.range(3), "x").count() == 3
+
+
+@pytest.mark.parametrize("hot", ["5", "NULL"])
+def test_lookup_splits_a_hot_key(spark, hot):
+    """A third of the rows on one key (or on NULL), and a dimension that may not be broadcast."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        key = f"CASE WHEN id % 3 = 0 THEN {hot} ELSE id % 5000 END AS code"
+        facts = spark.range(0, 200_000, 1, 16).selectExpr("id", key, "uuid() AS payload")
+        dim = spark.range(5000).selectExpr("id AS code", "id * 10 AS sk")
+        got = joins.lookup(facts, dim, {"code": "code"}, {"sk": "sk"})
+        totals = got.agg(F.count("*"), F.count("sk"), F.sum("sk"))
+        assert got.toArrow().num_rows == 200_000
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+        want = facts.agg(F.count("*"), F.count("code"), F.sum(F.col("code") * 10))
+        assert tuple(totals.first()) == tuple(want.first())
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -92,3 +92,12 @@ def test_repeating_a_batch_changes_nothing(spark, tmp_path):
     table.apply(second, 1, RUN_TS)
     table.apply(first, 0, RUN_TS)
     assert state(table, spark) == before == [(1, "a", 13)] and rows(table.log(spark)) == log
+
+
+def test_a_batch_reads_only_its_buckets(spark, tmp_path):
+    table = make_table(spark, tmp_path)
+    keys = spark.createDataFrame([(1,)], "id long")
+    touched = table._touched(keys, 0)
+    assert [r.id for r in touched.collect()] == [1]
+    scan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(version" in scan and "bucket" in scan.split("PartitionFilters")[1]

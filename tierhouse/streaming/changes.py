@@ -1,15 +1,15 @@
 """A change feed applied batch by batch, with its log.
 
-State is kept as appended row versions: a batch scans it for the keys it
-touches but writes only those, never the whole table. compact() starts a new
-base when many versions have piled up.
+State is kept as appended row versions in hash buckets of the key: a batch reads
+only the buckets its keys fall into and writes only its keys, never the whole
+table. compact() starts a new base when many versions have piled up.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -22,6 +22,7 @@ from tierhouse.sources.warehouse import timestamp_lit
 from tierhouse.streaming.files import landing_stream
 
 VERSION = "version"
+BUCKET = "bucket"
 GONE = "_gone"
 BASE_VERSION = -1
 
@@ -34,6 +35,7 @@ class ChangeTable:
     schema: T.StructType
     spec: ChangeSpec
     hot_rows: int = HOT_ROWS
+    buckets: int = 64
 
     @property
     def state_path(self) -> str:
@@ -47,14 +49,28 @@ class ChangeTable:
         """Start from a snapshot (one row per key)."""
         self._write_state(base.withColumn(GONE, F.lit(False)), BASE_VERSION)
 
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.spec.key), F.lit(self.buckets)).cast("int")
+
     def _write_state(self, rows: DataFrame, version: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.state_path}/{VERSION}={version}")
+        # Rebalanced, so that a bucket is few files but a large one is still split.
+        laid_out = rows.withColumn(BUCKET, self._bucket()).hint("rebalance", BUCKET)
+        laid_out.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.state_path}/{VERSION}={version}")
+
+    def _state(self, spark: SparkSession) -> DataFrame:
+        added = "_gone boolean, version bigint, bucket int"
+        full = T.StructType([*self.schema.fields, *T.StructType.fromDDL(added).fields])
+        return spark.read.schema(full).parquet(self.state_path)
+
+    def _touched(self, keys: DataFrame, batch_id: int) -> DataFrame:
+        """State rows of `keys` before a batch; both filters prune folders.
 
-    def _state(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        full = T.StructType([*self.schema.fields, T.StructField(GONE, T.BooleanType()), T.StructField(VERSION, T.LongType())])
-        rows = spark.read.schema(full).parquet(self.state_path)
-        # A partition filter: later versions (of a batch that is being repeated) are not read.
-        return rows if before is None else rows.where(F.col(VERSION) < before)
+        Versions from `batch_id` on (of a batch that is being repeated) are left out.
+        """
+        # At most one number per bucket reaches the driver.
+        buckets = [r[0] for r in keys.select(self._bucket()).distinct().collect()]
+        rows = self._state(keys.sparkSession).where((F.col(VERSION) < batch_id) & F.col(BUCKET).isin(buckets))
+        return rows.join(keys, self.spec.key, "left_semi")
 
     def _newest(self, rows: DataFrame) -> DataFrame:
         newest = keep_latest(rows, [self.spec.key], [VERSION], tie_break=[])
@@ -69,11 +85,10 @@ class ChangeTable:
 
     def apply(self, feed: DataFrame, batch_id: int, run_ts: str) -> None:
         """Apply one batch. Every output folder is named by the batch, so repeating it replaces them."""
-        spark, key = feed.sparkSession, self.spec.key
+        key = self.spec.key
         last_op = feed.groupBy(key).agg(F.max_by(self.spec.op, self.spec.seq).alias("_last_op"))
-        touched = self._state(spark, batch_id).join(last_op.select(key), key, "left_semi")
         # Read by the log and by the new state: written once, as large as the batch's keys.
-        before = written(self._newest(touched), "before-batch")
+        before = written(self._newest(self._touched(last_op.select(key), batch_id)), "before-batch")
         log = feed_log(before, feed, self.spec, self.hot_rows).withColumn("changed_at", timestamp_lit(run_ts))
         log.write.mode("overwrite").parquet(f"{self.log_path}/{VERSION}={batch_id}")
         kept = apply_feed(before, feed, self.spec, timestamp_lit(run_ts)).withColumn(GONE, F.lit(False))
