@@ -49,7 +49,7 @@ def dense_number(
 ) -> DataFrame:
     """Numbers start..start+N-1 along `order`, as the first column.
 
-    The reference form, row_number() over the whole table, sorts everything in
+    The plain form, row_number() over the whole table, sorts everything in
     one task. Here each task numbers its own range and adds the row count of
     the ranges before it. `order` must be a total order for a repeatable result.
     """

@@ -29,13 +29,17 @@ BASE_VERSION = -1
 
 @dataclass(frozen=True)
 class ChangeTable:
-    """A keyed table and its log as versioned parquet folders below `path`."""
+    """A keyed table and its log as versioned parquet folders below `path`.
+
+    `buckets` cannot change once the table exists: take more for a larger
+    state (compact() into another table re-buckets it).
+    """
 
     path: str
     schema: T.StructType
     spec: ChangeSpec
     hot_rows: int = HOT_ROWS
-    buckets: int = 64
+    buckets: int = 16
 
     @property
     def state_path(self) -> str:
