@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierhouse.llm import quality_rules
+from tierhouse.llm import decontaminate, minhash, mixing, pii, quality_rules
 from tierhouse.llm.common import written
 
 
@@ -17,13 +17,40 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs, _table(spark, sf_dir, "labels"))
 
 
-STAGES = [("quality_rules", quality)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five words, similarity 0.8."""
+    return minhash.one_of_each(docs, width=5, percent=80)
 
-#: The cutoffs, components and draws are not expressible in SQL.
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no ten words with the benchmark."""
+    return decontaminate.without_contaminated(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced by its kind."""
+    return pii.redacted(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, with the number of the copy."""
+    return mixing.mixed(docs)
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("pii", personal_data),
+    ("mixing", mix),
+]
+
+#: Cutoffs, components and draws are not expressible in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, applied to the table of documents."""
     docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")

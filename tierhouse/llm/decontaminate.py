@@ -184,3 +184,12 @@ def contaminated_rows(
         F.sha2(F.coalesce(F.array_join("item_ids", ","), F.lit("")), 256).alias("items_sha256"),
         F.col("n_hit").isNotNull().alias("contaminated"),
     )
+
+
+def without_contaminated(
+    docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text"
+) -> DataFrame:
+    """The rows that share no window with the benchmark, with all their columns."""
+    rows = docs.select(_row_key(doc_id, text).alias("__k"), words(F.col(text)).alias("__words")).where(F.size("__words") > 0)
+    found = written(contamination(rows, _items(benchmark, item_id, item_text), "__k").select("__k"), "winnow-found")
+    return docs.join(found, _row_key(doc_id, text) == F.col("__k"), "left_anti")

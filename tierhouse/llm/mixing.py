@@ -21,7 +21,7 @@ hashes of ids, so a rerun gives the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierhouse.llm.common import uniform, written
@@ -176,3 +176,28 @@ def mixture(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
     return out.select("__row.doc_id", "__row.source", "__row.size", "__row.source_size", "__row.target", copies.alias("copies")).withColumn(
         "taken", F.col("copies").cast("long") * F.col("size")
     )
+
+
+def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The mix itself: the rows of `docs` with all their columns, each as often as it is taken, and `copy` from 1."""
+    taken = written(mixture(docs, doc_id, text, source), "mixing-taken")
+    key = lambda i, s, n: F.xxhash64(i, s, n)
+    # Rows that agree in id, source and size share their copies out among themselves.
+    due = taken.groupBy("doc_id", "source", "size").agg(F.array_sort(F.collect_list("copies")).alias("__due"))
+    due = due.select(key("doc_id", "source", "size").alias("__key"), F.col("doc_id").alias("__i"), F.col("source").alias("__s"), F.col("size").alias("__n"), "__due")
+    own = {"__src": F.col(source).cast("string"), "__len": word_count(F.col(text))}
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), F.col(doc_id).alias("__id"), *(c.alias(k) for k, c in own.items()))
+    rows = rows.withColumn("__own", key("__id", "__src", "__len"))
+    place = F.lit(1)
+    if not due.where(F.size("__due") > 1).isEmpty():
+        place = F.row_number().over(Window.partitionBy("__own").orderBy(F.lit(1)))
+    joined = rows.withColumn("__place", place).join(
+        due,
+        (F.col("__own") == F.col("__key"))
+        & F.col("__id").eqNullSafe(F.col("__i"))
+        & F.col("__src").eqNullSafe(F.col("__s"))
+        & (F.col("__len") == F.col("__n")),
+    )
+    copies = F.element_at("__due", F.least(F.col("__place"), F.size("__due")))
+    times = F.when(copies > 0, F.sequence(F.lit(1), copies)).otherwise(F.array().cast("array<int>"))
+    return joined.select("__row", F.explode(times).alias("__copy")).select("__row.*", F.col("__copy").alias("copy"))

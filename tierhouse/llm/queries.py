@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierhouse.llm import decontaminate, language_id, mixing, pii, quality_bayes, quality_rules, token_counts
+from tierhouse.llm import decontaminate, language_id, minhash, mixing, pii, quality_bayes, quality_rules, suffix_dedup, token_counts, url_templates
 
 Build = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Build] = {}
@@ -26,6 +26,11 @@ def query(name: str, sql: str | None = None) -> Callable:
     return register
 
 
+@query("op1_minhash")
+def op1(table: Callable[[str], DataFrame]) -> DataFrame:
+    return minhash.near_duplicates(table("documents"), width=3, percent=85)
+
+
 @query("op2_quality_bayes")
 def op2(table: Callable[[str], DataFrame]) -> DataFrame:
     return quality_bayes.quality_scores(table("documents"), table("labels"))
@@ -50,6 +55,29 @@ def op5(table: Callable[[str], DataFrame]) -> DataFrame:
     return token_counts.token_counts(table("documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
+@query("op6_suffix_dedup")
+def op6(table: Callable[[str], DataFrame]) -> DataFrame:
+    return suffix_dedup.without_repeats(table("documents")).drop("kept_bytes")
+
+
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+@query("op7_url_templates")
+def op7(table: Callable[[str], DataFrame]) -> DataFrame:
+    """Labels of the same id stand for the pages': the tables have no other."""
+    labels = table("labels").select(
+        F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad")
+    )
+    return url_templates.url_verdicts(table("pages"), labels, URL_RULES)
+
+
 _WINNOWING_SQL = r"""
 WITH split AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
