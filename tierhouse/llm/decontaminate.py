@@ -57,7 +57,7 @@ def _grams(tokens: Column, n: int) -> Column:
     return _bound(hashed, at)
 
 
-def _selected(df: DataFrame, key: str, tokens: str) -> DataFrame:
+def _selected(df: DataFrame, key: str, tokens: Column) -> DataFrame:
     """key, pos (from 0) and fp of every gram that is the smallest of some window."""
 
     def lows(grams: Column) -> Column:
@@ -71,34 +71,35 @@ def _selected(df: DataFrame, key: str, tokens: str) -> DataFrame:
         marked = F.transform(grams, lambda h, i: F.when(top(i) == h, F.struct(i.alias("pos"), h.alias("fp"))))
         return F.filter(marked, lambda s: s.isNotNull())
 
-    picked = _bound(_grams(F.col(tokens), GRAM), lambda g: _bound(lows(g), lambda low: chosen(g, low)))
+    picked = _bound(_grams(tokens, GRAM), lambda g: _bound(lows(g), lambda low: chosen(g, low)))
     return df.select(key, F.explode(picked).alias("s")).select(key, "s.pos", "s.fp")
 
 
-def _of_length(df: DataFrame, key: str, tokens: str, n: int) -> DataFrame:
+def _of_length(df: DataFrame, key: str, tokens: Column, n: int) -> DataFrame:
     """key, pos and fp of every run of n words."""
-    return df.select(key, F.posexplode(_grams(F.col(tokens), n)).alias("pos", "fp"))
+    return df.select(key, F.posexplode(_grams(tokens, n)).alias("pos", "fp"))
 
 
 def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Runs of words: (__key, item_id, first, last), document positions from 0, last inclusive.
+    """(__key, item_id, __diagonals) of each document and item with equal fingerprints.
 
-    `docs` has __key and __words; `items` has item_id and __item (words), one row each.
+    `docs` has __key and __text; `items` has item_id and __item (words), one row
+    each. There are never more diagonals than words in the two together.
     """
     sized = items.where(F.size("__item") > 0)
     long_items = sized.where(F.size("__item") >= SPAN)
-    left = _selected(docs, "__key", "__words")
-    right = _selected(long_items, "item_id", "__item")
+    tokens = words(F.col("__text"))
+    met = [_met(_selected(docs, "__key", tokens), _selected(long_items, "item_id", F.col("__item")))]
     # At most nine lengths, whatever the benchmark's size.
     short = sorted(r.n for r in sized.where(F.size("__item") < SPAN).select(F.size("__item").alias("n")).distinct().collect())
-    met = [_met(left, right)]
     for n in short:
         own = sized.where(F.size("__item") == n)
-        met.append(_met(_of_length(docs, "__key", "__words", n), _of_length(own, "item_id", "__item", n)))
+        met.append(_met(_of_length(docs, "__key", tokens, n), _of_length(own, "item_id", F.col("__item"), n)))
     diagonals = met[0]
     for m in met[1:]:
         diagonals = diagonals.unionByName(m)
-    return written(diagonals.distinct(), "winnow-diagonals")
+    grouped = diagonals.distinct().groupBy("__key", "item_id").agg(F.collect_list("diagonal").alias("__diagonals"))
+    return written(grouped, "winnow-diagonals")
 
 
 def _met(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -131,14 +132,17 @@ def _runs(tokens: Column, item: Column, diagonal: Column) -> Column:
 def contamination(docs: DataFrame, items: DataFrame, key: str) -> DataFrame:
     """Per key with a hit: n_hit, n_items and the item ids (sorted strings).
 
-    `docs` has `key` and __words and one row for each key; `items` as in `hits`.
+    `docs` has `key` and __text; rows of one key are the same. `items` as in `hits`.
     """
     docs = docs.withColumnRenamed(key, "__key")
-    diagonals = hits(docs, items)
+    found = hits(docs, items).join(items, "item_id")
+    spans = _bound(
+        words(F.col("__text")),
+        lambda tokens: F.flatten(F.transform("__diagonals", lambda d: _runs(tokens, F.col("__item"), d))),
+    )
     extended = (
-        diagonals.join(items, "item_id")
-        .join(docs, "__key")
-        .select("__key", "item_id", F.explode(_runs(F.col("__words"), F.col("__item"), F.col("diagonal"))).alias("s"))
+        docs.join(found, "__key")
+        .select("__key", "item_id", F.explode(spans).alias("s"))
         .select("__key", "item_id", "s.first", "s.last")
         .distinct()
     )
@@ -172,9 +176,9 @@ def contaminated_rows(
     docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
     """Per row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    rows = docs.select(F.col(doc_id).alias("__doc"), _row_key(doc_id, text).alias("__k"), words(F.col(text)).alias("__words"))
-    found = contamination(rows.select("__k", "__words").where(F.size("__words") > 0), _items(benchmark, item_id, item_text), "__k")
-    out = rows.select("__doc", "__k", F.size("__words").cast("long").alias("n_words")).join(found, "__k", "left")
+    rows = docs.select(F.col(doc_id).alias("__doc"), _row_key(doc_id, text).alias("__k"), F.col(text).alias("__text"))
+    found = contamination(rows.select("__k", "__text"), _items(benchmark, item_id, item_text), "__k")
+    out = rows.select("__doc", "__k", F.size(words(F.col("__text"))).cast("long").alias("n_words")).join(found, "__k", "left")
     n_items = F.coalesce(F.size("item_ids"), F.lit(0))
     return out.select(
         F.col("__doc").alias("doc_id"),
@@ -190,6 +194,6 @@ def without_contaminated(
     docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
     """The rows that share no window with the benchmark, with all their columns."""
-    rows = docs.select(_row_key(doc_id, text).alias("__k"), words(F.col(text)).alias("__words")).where(F.size("__words") > 0)
+    rows = docs.select(_row_key(doc_id, text).alias("__k"), F.col(text).alias("__text"))
     found = written(contamination(rows, _items(benchmark, item_id, item_text), "__k").select("__k"), "winnow-found")
     return docs.join(found, _row_key(doc_id, text) == F.col("__k"), "left_anti")
