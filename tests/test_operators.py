@@ -44,6 +44,16 @@ def test_split_hot_is_a_partition_of_the_rows(spark):
     assert split_hot(df, ["k"], 10_000)[1] is None
 
 
+@pytest.fixture
+def many_ranges(spark):
+    """Range partitions stay apart, so that values really have to cross their borders."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.unset(key)
+
+
+@pytest.mark.usefixtures("many_ranges")
 @pytest.mark.parametrize("hot_rows", [200, 10_000_000])
 @pytest.mark.parametrize("direction", ["next", "previous"])
 def test_neighbour_agrees_with_the_plain_window(spark, hot_rows, direction):
@@ -55,14 +65,61 @@ def test_neighbour_agrees_with_the_plain_window(spark, hot_rows, direction):
     assert rows(got) == rows(want)
 
 
+@pytest.mark.usefixtures("many_ranges")
 @pytest.mark.parametrize("hot_rows", [200, 10_000_000])
-def test_running_total_agrees_with_the_plain_window(spark, hot_rows):
-    df = skewed(spark)
+@pytest.mark.parametrize("kind", ["bigint", "decimal(20,4)"])
+def test_running_total_agrees_with_the_plain_window(spark, hot_rows, kind):
+    df = skewed(spark).withColumn("v", F.col("v").cast(kind))
     w = Window.partitionBy("k").orderBy(*by_day()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     want = df.withColumn("total", F.sum("v").over(w))
     assert rows(running_total(df, ["k"], by_day(), F.col("v"), "total", hot_rows)) == rows(want)
 
 
+@pytest.mark.usefixtures("many_ranges")
+def test_hot_rows_cross_range_borders(spark):
+    seq = range_sequence(skewed(spark).where("k = 1"), [F.col("k"), *by_day()])
+    assert seq.select(F.shiftright("_seq", 33)).distinct().count() > 1
+
+
+def test_floating_running_total_is_refused(spark):
+    df = spark.createDataFrame([(1, 0.5)], "k long, v double")
+    with pytest.raises(TypeError):
+        running_total(df, ["k"], [F.col("k")], F.col("v"), "s")
+
+
+def test_merge_fails_on_a_double_match(spark):
+    spec = changes.ChangeSpec("id", "v", ("v",), "I", "U", "D")
+    target = spark.createDataFrame([(1, 1), (2, 2)], "id long, v long")
+    double = spark.createDataFrame([(1, 5), (1, 6)], "id long, v long")
+    for out in (
+        changes.merge_upsert(target, double, spec),
+        changes.change_log(target, double, spec),
+        changes.snapshot_log(target, double, spec),
+        changes.update_where_matched(target, double, spec, F.current_timestamp()),
+    ):
+        with pytest.raises(Exception, match="several source rows"):
+            out.collect()
+    nulls = spark.createDataFrame([(None, 5), (None, 6), (2, 9)], "id long, v long")
+    assert rows(changes.merge_upsert(target, nulls, spec)) == sorted([(1, 1), (2, 9), (None, 5), (None, 6)], key=repr)
+
+
+def test_continued_keys_take_null_as_a_value(spark):
+    target = spark.createDataFrame([(1, "a"), (2, None)], "sk long, name string")
+    batch = spark.createDataFrame([("a", 1), (None, 2), ("b", 3), ("b", 4)], "name string, x long")
+    got = continue_keys(batch, target, ["name"], "sk", business_key=["name"])
+    assert rows(got) == [(3, "b", 3)]
+
+
+def test_long_ranges_come_in_chunks(spark):
+    one = spark.range(1)
+    top = 9_223_372_036_854_775_807
+    got = loops.explode_range(one, F.lit(top - 250_000), F.lit(top), 1, "i")
+    assert got.agg(F.count("*"), F.min("i"), F.max("i")).first()[0:3] == (250_001, top - 250_000, top)
+    down = loops.explode_range(one, F.lit(1_000_000), F.lit(3), -7, "i").agg(F.count("*"), F.min("i"), F.max("i")).first()
+    want = range(1_000_000, 2, -7)
+    assert down[0:3] == (len(want), min(want), max(want))
+
+
 def test_running_total_counts_to_fifteen(spark):
     df = spark.range(1, 6).withColumn("k", F.lit("a"))
     got = running_total(df, ["k"], [F.col("id")], F.col("id"), "s")

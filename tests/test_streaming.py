@@ -38,7 +38,7 @@ def test_a_bad_value_stops_the_stream(spark, tmp_path):
         ingest_new_files(spark, f"file://{landing}", schema, f"file://{tmp_path}/o", f"file://{tmp_path}/c")
 
 
-SPEC = ChangeSpec(key="id", watch="score", update=("score",), stamp="updated_at")
+SPEC = ChangeSpec("id", "score", ("score",), "INSERT_STUDENT", "UPDATE_SCORE", "DELETE_STUDENT", "updated_at")
 FEED = "id long, name string, score long, op string, seq long"
 
 

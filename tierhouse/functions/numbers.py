@@ -8,18 +8,23 @@ from pyspark.sql import functions as F
 from tierhouse.functions.text import _col, ws_trim
 
 NUMERIC = "decimal(38,9)"
+_INTEGER = r"^[+-]?[0-9]+$"
 
 
 def safe_long(c: Column | str) -> Column:
-    """Trimmed text as a long, NULL if it is not one."""
-    return ws_trim(c).try_cast("bigint")
+    """Trimmed text as a long, NULL if it is not one.
+
+    Only text of an integer's shape is tried: a failing cast is many times dearer.
+    """
+    text = ws_trim(c)
+    return F.when(text.rlike(_INTEGER), text.try_cast("bigint"))
 
 
 def hard_long(c: Column | str) -> Column:
     """Trimmed text as a long; the job fails on anything else."""
     text = ws_trim(c)
     bad = F.raise_error(F.concat(F.lit("not an integer: "), text)).cast("bigint")
-    return F.coalesce(text.try_cast("bigint"), F.when(text.isNotNull(), bad))
+    return F.coalesce(F.when(text.rlike(_INTEGER), text.try_cast("bigint")), F.when(text.isNotNull(), bad))
 
 
 def parse_price(c: Column | str) -> Column:
@@ -55,10 +60,17 @@ def repair_price(sales: Column | str, quantity: Column | str, price: Column | st
 def exact_amount(quantity: Column | str, unit_price: Column | str) -> Column:
     """quantity * unit_price without loss of scale.
 
-    bigint * decimal(38,9) would be rounded to six decimals; these operand
-    types multiply to exactly decimal(38,9).
+    bigint * decimal(38,9) would be rounded to six decimals. Operands of a and
+    28 - a whole digits multiply to exactly decimal(38,9), so the digits of the
+    quantity choose a; a product of more than 28 whole digits fails.
     """
-    return _col(quantity).cast("decimal(10,0)") * _col(unit_price).cast("decimal(27,9)")
+    q, p = _col(quantity), _col(unit_price).cast(NUMERIC)
+    size = F.abs(q.cast("decimal(20,0)"))
+    out = F
+    for digits in (9, 14, 19):
+        product = q.cast(f"decimal({digits},0)") * p.cast(f"decimal({37 - digits},9)")
+        out = out.when(size < F.lit(str(10**digits)).cast("decimal(20,0)"), product)
+    return out
 
 
 def divide_or(numerator: Column | str, denominator: Column | str, fallback: float = 0.0) -> Column:

@@ -5,14 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierhouse.operators.ordered import neighbour
 from tierhouse.operators.skew import HOT_ROWS
 
-NULL_SALTS = 256
-
 
 @dataclass(frozen=True)
 class ChangeSpec:
@@ -25,28 +23,48 @@ class ChangeSpec:
     key: str
     watch: str
     update: Sequence[str]
+    insert_action: str
+    update_action: str
+    delete_action: str
     stamp: str | None = None
-    insert_action: str = "INSERT_STUDENT"
-    update_action: str = "UPDATE_SCORE"
-    delete_action: str = "DELETE_STUDENT"
     op: str = field(default="op")
     seq: str = field(default="seq")
 
 
-# The students table of the change-log tutorial.
-STUDENTS = ChangeSpec(key="student_id", watch="score", update=("score",), stamp="updated_at")
+# The students table of the change-log tutorial and its labels.
+STUDENTS = ChangeSpec(
+    key="student_id",
+    watch="score",
+    update=("score",),
+    insert_action="INSERT_STUDENT",
+    update_action="UPDATE_SCORE",
+    delete_action="DELETE_STUDENT",
+    stamp="updated_at",
+)
+
+
+def one_per_key(df: DataFrame, key: str, *also: str) -> DataFrame:
+    """`df`, whose job fails if a key (not NULL) has several rows.
+
+    The count runs over the partitioning that a join on the same columns needs
+    anyway, so it costs no shuffle of its own.
+    """
+    many = F.count(F.lit(1)).over(Window.partitionBy(key, *also)) > 1
+    error = F.raise_error(F.concat(F.lit(f"several source rows match {key} = "), F.col(key).cast("string")))
+    return df.withColumn(key, F.when(many & F.col(key).isNotNull(), error.cast(df.schema[key].dataType)).otherwise(F.col(key)))
 
 
 def _salted(df: DataFrame, key: str, side: str) -> DataFrame:
     # NULL keys match nothing, so their rows may go to any task; without the
     # salt a full outer join would send all of them to one.
-    salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SALTS))).otherwise(F.lit(0))
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(salts))).otherwise(F.lit(0))
     return df.select(F.struct(*df.columns).alias(side), F.col(key).alias(f"{side}_key"), salt.alias(f"{side}_salt"))
 
 
 def _matched(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """Full outer match: struct columns `t` and `s`, NULL on the missing side."""
-    t, s = _salted(target, key, "t"), _salted(source, key, "s")
+    """Full outer match: struct columns `t` and `s`, NULL on the missing side. Fails on several source rows for a key."""
+    t, s = _salted(target, key, "t"), one_per_key(_salted(source, key, "s"), "s_key", "s_salt")
     on = (F.col("t_key") == F.col("s_key")) & (F.col("t_salt") == F.col("s_salt"))
     return t.join(s, on, "full_outer").select("t", "s")
 
@@ -54,10 +72,11 @@ def _matched(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
 def merge_upsert(target: DataFrame, source: DataFrame, spec: ChangeSpec, run_ts: Column | None = None) -> DataFrame:
     """`target` with `source` merged in: new keys inserted, known keys updated and stamped.
 
-    `source` holds one row per key (keep_latest() first if it may not) and the
-    target's columns except the stamp. Which side a value comes from is decided
-    by the match, not by NULL, so an update to NULL is kept. Applying the same
-    source again changes nothing.
+    `source` holds one row per key, or the job fails (keep_latest() first if it
+    may not), and the target's columns except the stamp. Which side a value
+    comes from is decided by the match, not by NULL, so an update to NULL is
+    kept. Applying the same source again changes nothing but the stamp, except
+    that rows with a NULL key match nothing and are inserted each time.
     """
     in_t, in_s = F.col("t").isNotNull(), F.col("s").isNotNull()
     out = []
@@ -124,8 +143,11 @@ def delete_log(target: DataFrame, deleted: DataFrame, spec: ChangeSpec) -> DataF
 
 
 def update_where_matched(target: DataFrame, updates: DataFrame, spec: ChangeSpec, run_ts: Column) -> DataFrame:
-    """Known keys updated and stamped, unknown ones ignored (UPDATE ... WHERE key = ...)."""
-    side = updates.select(
+    """Known keys updated and stamped, unknown ones ignored (UPDATE ... WHERE key = ...).
+
+    Fails on several updates for one key.
+    """
+    side = one_per_key(updates, spec.key).select(
         F.col(spec.key).alias("_u_key"), *[F.col(c).alias(f"_u_{c}") for c in spec.update], F.lit(True).alias("_hit")
     )
     joined = target.join(side, F.col(spec.key) == F.col("_u_key"), "left")

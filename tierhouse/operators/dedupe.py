@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 def _first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     # Filtering row_number() = 1 makes Spark keep one row per key in every map
     # task before the shuffle, so even a hot key sends one row per task.
-    window = Window.partitionBy(*keys).orderBy(*order)
+    window = Window.partitionBy(*keys).orderBy(*(order or map(F.col, keys)))
     return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") == 1).drop("_rank")
 
 

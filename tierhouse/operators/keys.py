@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierhouse.operators.dedupe import keep_any
 from tierhouse.operators.ordered import dense_number
+from tierhouse.operators.skew import same_keys
 
 
 def _ordering(order: Sequence[Column | str]) -> list[Column]:
@@ -36,11 +38,13 @@ def continue_keys(
     """Rows to append to `target`, numbered on from its highest key.
 
     By default every batch row is appended, even one that is already there.
-    With `business_key`, rows whose key is in the target are left out, which
-    makes a repeated run harmless.
+    With `business_key`, rows whose key (NULL being a value like any other) is
+    in the target are left out and of several batch rows of one key one is
+    taken, which makes a repeated run harmless.
     """
     rows = batch
     if business_key:
         present = target.select(*business_key).distinct()
-        rows = batch.join(present, list(business_key), "left_anti")
+        new = batch.join(present, same_keys(batch, present, business_key), "left_anti")
+        rows = keep_any(new, business_key, drop_null_keys=False)
     return surrogate_key(rows, order, name, start=highest_key(target, name) + 1)

@@ -106,7 +106,8 @@ def _hot_neighbour(df, keys, order, values, direction) -> DataFrame:
     for k in keys:
         same = same & near[k].eqNullSafe(F.col(k))
     picked = [F.when(same, near[f"_v{i}"]).alias(n) for i, n in enumerate(values)]
-    return looked.join(F.broadcast(carried), "_part").select(*df.columns, *picked)
+    # One row per partition, but with keys and values: Spark broadcasts it only below its own threshold.
+    return looked.join(carried, "_part").select(*df.columns, *picked)
 
 
 def running_total(
@@ -119,8 +120,10 @@ def running_total(
 ) -> DataFrame:
     """`df` plus the sum of `value` from the first row of the key to this one.
 
-    Pass integers or decimals: a floating sum depends on how rows are split.
+    Only integers and decimals: a floating sum would depend on how rows are split.
     """
+    if df.select(value.alias("v")).schema["v"].dataType.typeName() in ("float", "double"):
+        raise TypeError("running_total() of a floating column would depend on the plan; cast it to a decimal")
     ordinary, hot = split_hot(df, keys, hot_rows)
     window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = ordinary.withColumn(name, F.sum(value).over(window))
@@ -138,7 +141,8 @@ def _hot_running_total(df, keys, order, value, name) -> DataFrame:
     )
     summed = seq.withColumn("_sum", F.sum("_value").over(inside))
     parts = seq.groupBy("_part", *keys).agg(F.sum("_value").alias("_total"))
-    # A key appears once per partition it touches: at most partitions + hot keys rows.
+    # A key appears once per partition it touches: at most partitions + hot keys rows. They hold
+    # keys and sums, so Spark broadcasts them only below its own threshold.
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     carried = parts.select(
         F.col("_part").alias("_p"),

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tierhouse.functions.text import template
 
+# Steps of a range that one row holds as an array.
+CHUNK = 100_000
+
 
 def format_rows(df: DataFrame, fmt: str, *columns: str, name: str = "line") -> DataFrame:
     """`df` plus one formatted text line per row."""
@@ -18,11 +21,19 @@ def format_rows(df: DataFrame, fmt: str, *columns: str, name: str = "line") -> D
 def explode_range(df: DataFrame, first: Column, last: Column, step: Column | int, name: str) -> DataFrame:
     """One row per integer first, first+step, ... up to last; none if the range is empty.
 
-    A negative step counts down. `step` must not be 0.
+    A negative step counts down. `step` must not be 0. A long range is cut into
+    chunks of `CHUNK` steps, which are dealt out before they are exploded.
     """
-    step = F.lit(step) if isinstance(step, int) else step
-    reachable = F.when(step > 0, first <= last).otherwise(first >= last)
-    return df.withColumn(name, F.explode(F.when(reachable, F.sequence(first, last, step))))
+    step = (F.lit(step) if isinstance(step, int) else step).cast("bigint")
+    low, high = first.cast("bigint"), last.cast("bigint")
+    reachable = F.when(step > 0, low <= high).otherwise(low >= high)
+    chunks = F.explode(F.when(reachable, F.sequence(low, high, step * CHUNK)))
+    bounds = df.select("*", high.alias("__high"), step.alias("__step"), chunks.alias("__from"))
+    bounds = bounds.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # The last step of a chunk, without passing the range's end (or overflowing beyond it).
+    left = F.call_function("div", F.col("__high") - F.col("__from"), F.col("__step"))
+    end = F.col("__from") + F.col("__step") * F.least(left, F.lit(CHUNK - 1).cast("bigint"))
+    return bounds.select(*df.columns, F.explode(F.sequence("__from", end, "__step")).alias(name))
 
 
 def skip_and_stop(df: DataFrame, keys: list[str], position: str, skip: Column, stop: Column) -> DataFrame:

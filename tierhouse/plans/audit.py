@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
@@ -136,6 +137,19 @@ def run_independent(audit: Audit, steps: list[Step], at_once: int = 4) -> None:
         raise first
 
 
+@contextmanager
+def logged(warehouse: Warehouse, procedure: str, audit: Audit | None) -> Iterator[Audit]:
+    """The caller's audit, or one of its own that is written at the end, also after a failure."""
+    own = audit or Audit(procedure)
+    try:
+        yield own
+    finally:
+        if audit is None:
+            rows = list(own.rows)
+            own.flush(warehouse)
+            own.rows = rows
+
+
 def summary_line() -> Column:
     """One text line per log row, worded by status."""
     head = template(">> STEP: %s | STATUS: %s", F.rpad("step_name", STEP_WIDTH, " "), F.col("status"))

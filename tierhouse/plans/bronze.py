@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from tierhouse.plans.audit import Audit, Step, run_independent, utc_now
+from tierhouse.plans.audit import Audit, Step, logged, run_independent, utc_now
 from tierhouse.schemas import BRONZE
 from tierhouse.sources.csv import MANIFEST, Landing, read_csv
 from tierhouse.sources.warehouse import Warehouse
@@ -25,7 +25,6 @@ def load(
     at_once: int = 4,
 ) -> Audit:
     """Every manifest file into its table, replaced or appended; the first failure ends the load."""
-    audit = audit or Audit("bronze.load")
     run_ts = utc_now()
     write = warehouse.append if append else warehouse.overwrite
 
@@ -35,5 +34,6 @@ def load(
         work = lambda: write(entry.table, read_csv(warehouse.spark, path, entry.table.schema), run_ts)
         return Step(f"LOAD_{entry.table.name.upper()}", work, warehouse.name(entry.table))
 
-    run_independent(audit, [step(e) for e in manifest], at_once)
-    return audit
+    with logged(warehouse, "bronze.load", audit) as log:
+        run_independent(log, [step(e) for e in manifest], at_once)
+    return log

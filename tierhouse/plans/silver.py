@@ -15,7 +15,7 @@ from tierhouse.functions import dates, numbers, text
 from tierhouse.operators.dedupe import keep_any, keep_latest
 from tierhouse.operators.history import validity_end
 from tierhouse.operators.skew import HOT_ROWS
-from tierhouse.plans.audit import Audit, Step, run_independent
+from tierhouse.plans.audit import Audit, Step, logged, run_independent
 from tierhouse.schemas import BRONZE, SILVER
 from tierhouse.sources.warehouse import Warehouse
 
@@ -114,7 +114,6 @@ def load(
     at_once: int = 4,
 ) -> Audit:
     """All six silver tables, each fully reloaded and stamped with `run_ts`; fails fast."""
-    audit = audit or Audit("silver.load")
     as_of = as_of or run_ts.date()
     builds = {
         "crm_cust_info": lambda b: customers(b, options),
@@ -131,5 +130,6 @@ def load(
         work = lambda: warehouse.overwrite(table, build(warehouse.read(BRONZE[name])), run_ts)
         return Step(f"LOAD_{name.upper()}", work, warehouse.name(table))
 
-    run_independent(audit, [step(n) for n in builds], at_once)
-    return audit
+    with logged(warehouse, "silver.load", audit) as log:
+        run_independent(log, [step(n) for n in builds], at_once)
+    return log

@@ -10,7 +10,15 @@ from tierhouse.sources.warehouse import timestamp_lit
 
 RUN_TS = "2026-01-02 03:04:05"
 
-SPEC = changes.ChangeSpec(key="id", watch="cents", update=("cents", "segment"), stamp="updated_at")
+SPEC = changes.ChangeSpec(
+    key="id",
+    watch="cents",
+    update=("cents", "segment"),
+    insert_action="INSERT_STUDENT",
+    update_action="UPDATE_SCORE",
+    delete_action="DELETE_STUDENT",
+    stamp="updated_at",
+)
 
 # Two snapshots of all customers: building customers are new, machinery customers have left.
 OLD = """

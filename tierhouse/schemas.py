@@ -1,4 +1,7 @@
-"""Declared tables: schema, defaults and required columns. Loads never infer a schema."""
+"""Declared tables: schema, defaults and required columns. Loads never infer a schema.
+
+Table and column names are fixed values: files and queries rely on them.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +13,7 @@ from pyspark.sql import types as T
 
 RUN_TS = "run_ts"  # default: the run's timestamp
 UUID = "uuid"  # default: a new identifier per row
+MONTH = "order_month"  # the partitions of sales tables
 
 # Column type names of external schema files.
 TYPE_NAMES = {
@@ -28,7 +32,11 @@ TYPE_NAMES = {
 
 @dataclass(frozen=True, eq=False)
 class Table:
-    """A declared table; `defaults` maps a column to RUN_TS, UUID or a literal."""
+    """A declared table; `defaults` maps a column to RUN_TS, UUID or a literal.
+
+    `month_of` maps a column to the date whose month it is; `cluster_by` orders
+    the rows inside the files of a partitioned table.
+    """
 
     layer: str
     name: str
@@ -36,6 +44,8 @@ class Table:
     defaults: Mapping[str, object] = field(default_factory=dict)
     not_null: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
+    cluster_by: tuple[str, ...] = ()
+    month_of: Mapping[str, str] = field(default_factory=dict)
 
     @property
     def schema(self) -> T.StructType:
@@ -91,8 +101,11 @@ SILVER = {
             "silver",
             "crm_sales_details",
             "sls_ord_num string, sls_prd_key string, sls_cust_id bigint, "
-            f"sls_order_dt date, sls_ship_dt date, sls_due_dt date, {_SALES}, dwh_create_date timestamp",
+            f"sls_order_dt date, sls_ship_dt date, sls_due_dt date, {_SALES}, dwh_create_date timestamp, {MONTH} date",
             _STAMP,
+            partition_by=(MONTH,),
+            cluster_by=("sls_cust_id", "sls_prd_key"),
+            month_of={MONTH: "sls_order_dt"},
         ),
         Table("silver", "erp_loc_a101", "cid string, cntry string, dwh_create_date timestamp", _STAMP),
         Table("silver", "erp_cust_az12", "cid string, bdate date, gen string, dwh_create_date timestamp", _STAMP),
@@ -120,7 +133,10 @@ GOLD = {
             "gold",
             "fact_sales",
             "order_number string, product_key bigint, customer_key bigint, order_date date, shipping_date date, "
-            "due_date date, sales_amount bigint, quantity bigint, price bigint",
+            f"due_date date, sales_amount bigint, quantity bigint, price bigint, {MONTH} date",
+            partition_by=(MONTH,),
+            cluster_by=("customer_key", "product_key"),
+            month_of={MONTH: "order_date"},
         ),
     )
 }

@@ -43,8 +43,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_path(spark: SparkSession, folder: str) -> bool:
+    """Delete one intermediate table that nothing reads any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_scratch(spark: SparkSession) -> bool:
     """Delete this application's intermediate tables, once no DataFrame still reads them."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    folder = jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
-    return folder.getFileSystem(conf).delete(folder, True)
+    return drop_path(spark, _application_folder(spark))

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierhouse.operators.validation import guard_not_null
 from tierhouse.schemas import RUN_TS, UUID, Table
-from tierhouse.scratch import written
+
+_TRACK = "spark.sql.hive.manageFilesourcePartitions"
 
 
 def timestamp_lit(run_ts: dt.datetime | str) -> Column:
@@ -24,7 +26,7 @@ def with_defaults(df: DataFrame, table: Table, run_ts: dt.datetime | str) -> Dat
 
     Identifiers are new on every evaluation, so add them only on the way to a table.
     """
-    added = {}
+    added = {name: F.trunc(F.col(source), "MM") for name, source in table.month_of.items() if name not in df.columns}
     for name, default in table.defaults.items():
         if name in df.columns:
             continue
@@ -40,11 +42,18 @@ def conform(df: DataFrame, table: Table, run_ts: dt.datetime | str) -> DataFrame
 
 
 class Warehouse:
-    """Table access for one session; `prefix` keeps several warehouses apart."""
+    """Table access for one session; `prefix` keeps several warehouses apart.
+
+    Each table's data is in a version folder of its own below `root` (the
+    session's warehouse folder if not given). A reload writes a new version,
+    and only when that has succeeded does the table point to it: a reload that
+    fails leaves the table as it was, and readers see the old rows until then.
+    """
 
-    def __init__(self, spark: SparkSession, prefix: str = ""):
+    def __init__(self, spark: SparkSession, prefix: str = "", root: str | None = None):
         self.spark = spark
         self.prefix = prefix
+        self.root = (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
     def name(self, table: Table) -> str:
         return f"{self.prefix}{table.layer}.{table.name}"
@@ -53,40 +62,76 @@ class Warehouse:
         """Create if absent, or drop and create."""
         for table in tables:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{table.layer}")
-            if replace:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
-            parts = f" PARTITIONED BY ({', '.join(table.partition_by)})" if table.partition_by else ""
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({table.ddl}) USING parquet{parts}")
+            if replace and self.spark.catalog.tableExists(self.name(table)):
+                old = self._location(table)
+                self.spark.sql(f"DROP TABLE {self.name(table)}")
+                self._delete(old)
+            if not self.spark.catalog.tableExists(self.name(table)):
+                self._declare(table)
+
+    def _declare(self, table: Table) -> None:
+        parts = f" PARTITIONED BY ({', '.join(table.partition_by)})" if table.partition_by else ""
+        # Partitions are found in the folder, so that they switch together with it.
+        kept = self.spark.conf.get(_TRACK)
+        self.spark.conf.set(_TRACK, "false")
+        try:
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({table.ddl}) USING parquet{parts} LOCATION '{self._version(table)}'"
+            )
+        finally:
+            self.spark.conf.set(_TRACK, kept)
+
+    def _version(self, table: Table) -> str:
+        return f"{self.root}/{self.name(table)}/{uuid.uuid4().hex}"
+
+    def _location(self, table: Table) -> str:
+        described = self.spark.sql(f"DESCRIBE FORMATTED {self.name(table)}")
+        return described.where("col_name = 'Location'").first().data_type
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
     def read(self, table: Table) -> DataFrame:
         return self.spark.table(self.name(table))
 
     def overwrite(self, table: Table, df: DataFrame, run_ts: dt.datetime | str) -> int:
-        """Full reload in one step, so readers never see an empty table; returns rows written."""
-        return self._insert(table, df, run_ts, overwrite=True)
+        """Full reload: a new version is written, then switched to; returns rows written.
+
+        `df` may read the table itself, as the old version is deleted last.
+        """
+        self.create(table)
+        old, new = self._location(table), self._version(table)
+        try:
+            rows = self._write(table, df, run_ts, lambda w: w.partitionBy(*table.partition_by).parquet(new))
+        except Exception:
+            self._delete(new)
+            raise
+        self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{new}'")
+        self.spark.catalog.refreshTable(self.name(table))
+        self._delete(old)
+        return rows
 
     def append(self, table: Table, df: DataFrame, run_ts: dt.datetime | str) -> int:
-        return self._insert(table, df, run_ts, overwrite=False)
-
-    def replace_self(self, table: Table, df: DataFrame, run_ts: dt.datetime | str) -> int:
-        """overwrite() for a `df` that reads the table itself: written aside first."""
-        return self._insert(table, written(conform(df, table, run_ts), table.name), run_ts, overwrite=True)
+        rows = self._write(table, df, run_ts, lambda w: w.insertInto(self.name(table)))
+        self.spark.catalog.refreshTable(self.name(table))
+        return rows
 
     def create_as(self, table: Table, df: DataFrame, run_ts: dt.datetime | str) -> int:
-        """CREATE TABLE AS SELECT, replacing an existing table."""
-        self.create(table, replace=True)
+        """CREATE TABLE AS SELECT; an existing table keeps its rows until the new ones are written."""
         return self.overwrite(table, df, run_ts)
 
     def truncate(self, *tables: Table) -> None:
         for table in tables:
-            empty = self.spark.createDataFrame([], table.schema)
-            empty.write.insertInto(self.name(table), overwrite=True)
+            self.overwrite(table, self.spark.createDataFrame([], table.schema), dt.datetime.now(dt.timezone.utc))
 
-    def _insert(self, table: Table, df: DataFrame, run_ts, overwrite: bool) -> int:
+    def _write(self, table: Table, df: DataFrame, run_ts, save: Callable[[DataFrameWriter], None]) -> int:
         # The row count is observed by the write itself: no second scan.
-        seen = Observation()
-        counted = conform(df, table, run_ts).observe(seen, F.count(F.lit(1)).alias("rows"))
-        counted.write.insertInto(self.name(table), overwrite=overwrite)
+        seen, rows = Observation(), conform(df, table, run_ts)
+        if table.partition_by:
+            # Few files for each partition, but a large one is split over tasks.
+            rows = rows.hint("rebalance", *table.partition_by).sortWithinPartitions(*table.partition_by, *table.cluster_by)
+        save(rows.observe(seen, F.count(F.lit(1)).alias("rows")).write)
         return int(seen.get["rows"])
 
 

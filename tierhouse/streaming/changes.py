@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tierhouse.operators.changes import ChangeSpec, apply_feed, feed_log
 from tierhouse.operators.dedupe import keep_latest
 from tierhouse.operators.skew import HOT_ROWS
-from tierhouse.scratch import written
+from tierhouse.scratch import drop_path, scratch_path
 from tierhouse.sources.warehouse import timestamp_lit
 from tierhouse.streaming.files import landing_stream
 
@@ -92,13 +92,16 @@ class ChangeTable:
         key = self.spec.key
         last_op = feed.groupBy(key).agg(F.max_by(self.spec.op, self.spec.seq).alias("_last_op"))
         # Read by the log and by the new state: written once, as large as the batch's keys.
-        before = written(self._newest(self._touched(last_op.select(key), batch_id)), "before-batch")
+        path = scratch_path(feed.sparkSession, "before-batch")
+        self._newest(self._touched(last_op.select(key), batch_id)).write.parquet(path)
+        before = feed.sparkSession.read.schema(self.schema).parquet(path)
         log = feed_log(before, feed, self.spec, self.hot_rows).withColumn("changed_at", timestamp_lit(run_ts))
         log.write.mode("overwrite").parquet(f"{self.log_path}/{VERSION}={batch_id}")
         kept = apply_feed(before, feed, self.spec, timestamp_lit(run_ts)).withColumn(GONE, F.lit(False))
         empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields if f.name != key]
         gone = last_op.where(F.col("_last_op") == "delete").select(key, *empty, F.lit(True).alias(GONE))
         self._write_state(kept.unionByName(gone), batch_id)
+        drop_path(feed.sparkSession, path)
 
     def compact(self, spark: SparkSession, target: ChangeTable) -> None:
         """Current rows as the base of another table folder."""
@@ -112,8 +115,12 @@ def stream_changes(
     table: ChangeTable,
     checkpoint: str,
     run_ts: str,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Apply the change files that arrived since the last run, then stop."""
+    """Apply the change files that arrived since the last run, then stop.
+
+    `files_per_batch` cuts a backlog into batches, each of which is kept while it is applied.
+    """
 
     def batch(rows: DataFrame, batch_id: int) -> None:
         rows.persist()
@@ -123,7 +130,7 @@ def stream_changes(
             rows.unpersist()
 
     query = (
-        landing_stream(spark, landing, feed_schema)
+        landing_stream(spark, landing, feed_schema, files_per_batch)
         .writeStream.foreachBatch(batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
