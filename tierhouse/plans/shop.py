@@ -28,6 +28,13 @@ from tierhouse.schemas import LOAD_LOGS, SHOP_BRONZE, SHOP_SILVER
 from tierhouse.scratch import written
 from tierhouse.sources.warehouse import Warehouse
 
+# The reject messages; the tables' names are filled in first, the raw value for %s.
+REJECT_MESSAGES = {
+    "unknown_customer": "Customer ID %s does not exist in {customers}",
+    "unknown_product": "Product ID %s does not exist in {products}",
+    "invalid_quantity": "Invalid quantity value (%s)",
+    "invalid_date": "Invalid sale date value (%s)",
+}
 RAW_SALES = ("raw_cust_id", "raw_prod_id", "raw_qty", "raw_sale_date")
 
 
@@ -78,29 +85,14 @@ def staged_sales(bronze: DataFrame, customers: DataFrame, products: DataFrame) -
 
 def sales_rules(customer_table: str = "silver.dim_customer", product_table: str = "silver.dim_products") -> list[Rule]:
     """Rejection rules in the order in which they are reported."""
-    col = F.col
-    return [
-        Rule(
-            "unknown_customer",
-            col("customer_key").isNull(),
-            text.template(f"Customer ID %s does not exist in {customer_table}", col("raw_cust_id")),
-        ),
-        Rule(
-            "unknown_product",
-            col("product_key").isNull(),
-            text.template(f"Product ID %s does not exist in {product_table}", col("raw_prod_id")),
-        ),
-        Rule(
-            "invalid_quantity",
-            col("qty").isNull() | (col("qty") <= 0),
-            text.template("Invalid quantity value (%s)", col("raw_qty")),
-        ),
-        Rule(
-            "invalid_date",
-            col("sale_date").isNull(),
-            text.template("Invalid sale date value (%s)", col("raw_sale_date")),
-        ),
-    ]
+    failing = {
+        "unknown_customer": (F.col("customer_key").isNull(), "raw_cust_id"),
+        "unknown_product": (F.col("product_key").isNull(), "raw_prod_id"),
+        "invalid_quantity": (F.col("qty").isNull() | (F.col("qty") <= 0), "raw_qty"),
+        "invalid_date": (F.col("sale_date").isNull(), "raw_sale_date"),
+    }
+    texts = {k: m.format(customers=customer_table, products=product_table) for k, m in REJECT_MESSAGES.items()}
+    return [Rule(k, fails, text.template(texts[k], F.col(raw))) for k, (fails, raw) in failing.items()]
 
 
 def fact_products_sales(flagged: DataFrame) -> DataFrame:

@@ -71,9 +71,18 @@ SELECT DISTINCT upper(substr(p_type, 1, 2)) || '_' || upper(substr(p_name, 1, 2)
 FROM {part} WHERE p_type <> 'PROMO'"""
 
 
-def _decode(column, pairs):
-    whens = " ".join(f"WHEN upper(trim({column}, {WS})) IN ({codes}) THEN '{label}'" for codes, label in pairs)
-    return f"CASE {whens} ELSE 'n/a' END"
+# The SQL each build must agree with, one common table per rule. Codes, labels and output names are fixed values.
+_LABELS = """labels(kind, code, label) AS (VALUES
+  ('marital', 'S', 'Single'), ('marital', 'M', 'Married'), ('gender', 'F', 'Female'), ('gender', 'M', 'Male'),
+  ('gender', 'FEMALE', 'Female'), ('gender', 'MALE', 'Male'), ('line', 'M', 'Mountain'), ('line', 'R', 'Road'),
+  ('line', 'S', 'Other Sales'), ('line', 'T', 'Touring'), ('country', 'DE', 'Germany'), ('country', 'US', 'United States'),
+  ('country', 'USA', 'United States'))"""
+
+
+def _label(kind, column, long_codes=True):
+    """The label of a code by lookup; `long_codes` also takes codes that are words."""
+    short = "" if long_codes else " AND length(code) = 1"
+    return f"coalesce((SELECT label FROM labels WHERE kind = '{kind}' AND code = upper(trim({column}, {WS})){short}), 'n/a')"
 
 
 def _title(column):
@@ -81,74 +90,73 @@ def _title(column):
     return f"array_to_string(list_transform({runs}, lambda t: upper(t[1:1]) || t[2:]), '')"
 
 
-def _customer_sql(first, last, order):
-    return f"""SELECT cst_id, cst_key, {first} AS cst_firstname, {last} AS cst_lastname,
-  {_decode('cst_marital_status', [("'S'", 'Single'), ("'M'", 'Married')])} AS cst_marital_status,
-  {_decode('cst_gndr', [("'F'", 'Female'), ("'M'", 'Male')])} AS cst_gndr, cst_create_date
-FROM (SELECT *, row_number() OVER (PARTITION BY cst_id ORDER BY {order}) AS n
-  FROM ({plain(CRM_CUSTOMER)}) b WHERE cst_id IS NOT NULL) d WHERE n = 1"""
+def _customer_sql(clean, order):
+    return f"""WITH {_LABELS}, raw AS ({plain(CRM_CUSTOMER)}),
+one_each AS (SELECT DISTINCT ON (cst_id) * FROM raw WHERE cst_id IS NOT NULL ORDER BY cst_id, {order})
+SELECT cst_id, cst_key, {clean('cst_firstname')} AS cst_firstname, {clean('cst_lastname')} AS cst_lastname,
+  {_label('marital', 'cst_marital_status')} AS cst_marital_status, {_label('gender', 'cst_gndr', False)} AS cst_gndr,
+  cst_create_date
+FROM one_each"""
 
 
-_REST = (
-    "cst_key NULLS FIRST, cst_firstname NULLS FIRST, cst_lastname NULLS FIRST, "
-    "cst_marital_status NULLS FIRST, cst_gndr NULLS FIRST"
-)
-S_CUSTOMER = _customer_sql(
-    f"trim(cst_firstname, {WS})", f"trim(cst_lastname, {WS})", f"cst_create_date DESC NULLS LAST, {_REST}"
-)
-S_CUSTOMER_SCHEDULED = _customer_sql(
-    _title("cst_firstname"), _title("cst_lastname"), f"{_REST}, cst_create_date NULLS FIRST"
-)
+_TEXTS = ("cst_key", "cst_firstname", "cst_lastname", "cst_marital_status", "cst_gndr")
+_REST = ", ".join(f"{c} NULLS FIRST" for c in _TEXTS)
+S_CUSTOMER = _customer_sql(lambda c: f"trim({c}, {WS})", f"cst_create_date DESC NULLS LAST, {_REST}")
+S_CUSTOMER_SCHEDULED = _customer_sql(_title, f"{_REST}, cst_create_date NULLS FIRST")
 
-S_PRODUCT = f"""SELECT prd_id, replace(substr(prd_key, 1, 5), '-', '_') AS cat_id, substr(prd_key, 7) AS prd_key, prd_nm,
-  coalesce(prd_cost, 0) AS prd_cost,
-  {_decode('prd_line', [("'M'", 'Mountain'), ("'R'", 'Road'), ("'S'", 'Other Sales'), ("'T'", 'Touring')])} AS prd_line,
-  CAST(prd_start_dt AS DATE) AS prd_start_dt,
-  CAST(CAST(lead(prd_start_dt) OVER (PARTITION BY prd_key ORDER BY prd_start_dt NULLS FIRST, prd_id) AS DATE)
-    - INTERVAL 1 DAY AS DATE) AS prd_end_dt
-FROM ({plain(CRM_PRODUCT)}) b"""
+S_PRODUCT = f"""WITH {_LABELS}, raw AS ({plain(CRM_PRODUCT)}),
+placed AS (SELECT *, row_number() OVER (PARTITION BY prd_key ORDER BY prd_start_dt NULLS FIRST, prd_id) AS place FROM raw),
+closing AS (SELECT prd_key AS of_key, place - 1 AS of_place, date_add(CAST(prd_start_dt AS DATE), INTERVAL (-1) DAY) AS last_day
+  FROM placed)
+SELECT prd_id, string_split(prd_key, '-')[1] || '_' || string_split(prd_key, '-')[2] AS cat_id,
+  regexp_replace(prd_key, '^.{{6}}', '') AS prd_key, prd_nm, ifnull(prd_cost, 0) AS prd_cost, {_label('line', 'prd_line')} AS prd_line,
+  CAST(prd_start_dt AS DATE) AS prd_start_dt, CAST(last_day AS DATE) AS prd_end_dt
+FROM placed LEFT JOIN closing ON of_key = prd_key AND of_place = place"""
 
 
 def _day(column):
-    return (
-        f"CASE WHEN {column} = 0 OR length(CAST({column} AS VARCHAR)) <> 8 THEN NULL "
-        f"ELSE CAST(strptime(CAST({column} AS VARCHAR), '%Y%m%d') AS DATE) END AS {column}"
-    )
+    eight = f"CAST({column} AS VARCHAR)"
+    parts = f"make_date({column} // 10000, {column} // 100 % 100, {column} % 100)"
+    return f"CASE WHEN {eight} SIMILAR TO '[0-9]{{8}}' THEN {parts} END AS {column}"
 
 
-S_SALES = f"""SELECT sls_ord_num, sls_prd_key, sls_cust_id, {_day('sls_order_dt')}, {_day('sls_ship_dt')}, {_day('sls_due_dt')},
-  CASE WHEN sls_sales IS NULL OR sls_sales <= 0 OR sls_sales <> sls_quantity * abs(sls_price)
-       THEN sls_quantity * abs(sls_price) ELSE sls_sales END AS sls_sales, sls_quantity,
-  CASE WHEN sls_price IS NULL OR sls_price <= 0 THEN sls_sales // nullif(sls_quantity, 0) ELSE sls_price END AS sls_price
-FROM ({plain(CRM_SALES)}) b"""
+S_SALES = f"""WITH raw AS ({plain(CRM_SALES)}),
+derived AS (SELECT *, sls_quantity * abs(sls_price) AS expected,
+  CASE WHEN sls_quantity <> 0 THEN sls_sales // sls_quantity END AS unit FROM raw)
+SELECT sls_ord_num, sls_prd_key, sls_cust_id, {_day('sls_order_dt')}, {_day('sls_ship_dt')}, {_day('sls_due_dt')},
+  if(sls_sales > 0 AND (expected IS NULL OR sls_sales = expected), sls_sales, expected) AS sls_sales, sls_quantity,
+  if(sls_price > 0, sls_price, unit) AS sls_price
+FROM derived"""
 
-S_ERP_CUSTOMER = f"""SELECT CASE WHEN cid LIKE 'NAS%' THEN substr(cid, 4) ELSE cid END AS cid,
-  CASE WHEN CAST(bdate AS DATE) > DATE '{AS_OF}' THEN NULL ELSE CAST(bdate AS DATE) END AS bdate,
-  {_decode('gen', [("'F', 'FEMALE'", 'Female'), ("'M', 'MALE'", 'Male')])} AS gen
-FROM ({plain(ERP_CUSTOMER)}) b"""
+S_ERP_CUSTOMER = f"""WITH {_LABELS}, raw AS ({plain(ERP_CUSTOMER)})
+SELECT regexp_replace(cid, '^NAS', '') AS cid, if(CAST(bdate AS DATE) <= DATE '{AS_OF}', CAST(bdate AS DATE), NULL) AS bdate,
+  {_label('gender', 'gen')} AS gen
+FROM raw"""
 
-S_LOCATION = f"""SELECT replace(cid, '-', '') AS cid,
-  CASE WHEN trim(cntry, {WS}) = 'DE' THEN 'Germany' WHEN trim(cntry, {WS}) IN ('US', 'USA') THEN 'United States'
-       WHEN trim(cntry, {WS}) = '' OR cntry IS NULL THEN 'n/a' ELSE trim(cntry, {WS}) END AS cntry
-FROM ({plain(ERP_LOCATION)}) b"""
+S_LOCATION = f"""WITH {_LABELS}, raw AS ({plain(ERP_LOCATION)}), trimmed AS (SELECT cid, nullif(trim(cntry, {WS}), '') AS place FROM raw)
+SELECT replace(cid, '-', '') AS cid,
+  coalesce((SELECT label FROM labels WHERE kind = 'country' AND code = place), place, 'n/a') AS cntry
+FROM trimmed"""
 
 S_CATEGORY = plain(ERP_CATEGORY)
 
-G_CUSTOMER = f"""SELECT row_number() OVER (ORDER BY cst_id) AS customer_key, cst_id AS customer_id, cst_key AS customer_number,
-  cst_firstname AS first_name, cst_lastname AS last_name, cntry AS country, cst_marital_status AS marital_status,
-  CASE WHEN cst_gndr <> 'n/a' THEN cst_gndr ELSE coalesce(gen, 'n/a') END AS gender, bdate AS birthdate,
-  cst_create_date AS create_date
-FROM ({S_CUSTOMER}) ci LEFT JOIN ({S_ERP_CUSTOMER}) ca ON ci.cst_key = ca.cid LEFT JOIN ({S_LOCATION}) la ON ci.cst_key = la.cid"""
-
-G_PRODUCT = f"""SELECT row_number() OVER (ORDER BY prd_start_dt NULLS FIRST, prd_key) AS product_key, prd_id AS product_id,
-  prd_key AS product_number, prd_nm AS product_name, cat_id AS category_id, cat AS category, subcat AS subcategory,
-  maintenance, prd_cost AS cost, prd_line AS product_line, prd_start_dt AS start_date
-FROM ({S_PRODUCT}) pn LEFT JOIN ({S_CATEGORY}) pc ON pn.cat_id = pc.id WHERE prd_end_dt IS NULL"""
-
-G_SALES = f"""SELECT sls_ord_num AS order_number, product_key, customer_key, sls_order_dt AS order_date,
+G_CUSTOMER = f"""WITH person AS ({S_CUSTOMER}), birth AS ({S_ERP_CUSTOMER}), home AS ({S_LOCATION})
+SELECT rank() OVER (ORDER BY cst_id) AS customer_key, cst_id AS customer_id, cst_key AS customer_number,
+  cst_firstname AS first_name, cst_lastname AS last_name, home.cntry AS country, cst_marital_status AS marital_status,
+  coalesce(nullif(cst_gndr, 'n/a'), birth.gen, 'n/a') AS gender, birth.bdate AS birthdate, cst_create_date AS create_date
+FROM person LEFT JOIN birth ON birth.cid = person.cst_key LEFT JOIN home ON home.cid = person.cst_key"""
+
+G_PRODUCT = f"""WITH version AS ({S_PRODUCT}), class AS ({S_CATEGORY}), open_version AS (SELECT * FROM version WHERE prd_end_dt IS NULL)
+SELECT rank() OVER (ORDER BY prd_start_dt NULLS FIRST, prd_key) AS product_key, prd_id AS product_id,
+  prd_key AS product_number, prd_nm AS product_name, cat_id AS category_id, class.cat AS category, class.subcat AS subcategory,
+  class.maintenance, prd_cost AS cost, prd_line AS product_line, prd_start_dt AS start_date
+FROM open_version LEFT JOIN class ON class.id = open_version.cat_id"""
+
+G_SALES = f"""WITH line AS ({S_SALES}), product_of AS (SELECT product_number, product_key FROM ({G_PRODUCT}) x),
+customer_of AS (SELECT customer_id, customer_key FROM ({G_CUSTOMER}) y)
+SELECT sls_ord_num AS order_number, product_key, customer_key, sls_order_dt AS order_date,
   sls_ship_dt AS shipping_date, sls_due_dt AS due_date, sls_sales AS sales_amount, sls_quantity AS quantity, sls_price AS price
-FROM ({S_SALES}) sd LEFT JOIN ({G_PRODUCT}) pr ON sd.sls_prd_key = pr.product_number
-  LEFT JOIN ({G_CUSTOMER}) cu ON sd.sls_cust_id = cu.customer_id"""
+FROM line LEFT JOIN customer_of ON customer_id = sls_cust_id LEFT JOIN product_of ON product_number = sls_prd_key"""
 
 
 def _silver_customers(src, options=silver.INTERACTIVE):
@@ -245,7 +253,8 @@ def gold_fact_by_month(src):
     path = scratch_path(src.spark, "fact-by-month")
     write_by_month(_gold_sales(src, "all"), path, "order_date", ["customer_key", "product_key"])
     columns = ["order_number", "product_key", "customer_key", "order_date", "sales_amount", "order_month"]
-    return src.spark.read.parquet(path).select(columns)
+    back = "order_number string, product_key bigint, customer_key bigint, order_date date, sales_amount bigint, order_month date"
+    return src.spark.read.schema(back).parquet(path).select(columns)
 
 
 # Customers last seen from 2001 on count as loaded today and are appended once more.
