@@ -40,6 +40,12 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     return None if hot.isEmpty() else hot
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """`df` itself if it is a plain scan (with filters and columns), else written once, so that looking at it twice is cheap."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return written(df, "settled") if any(node in plan for node in ("Join", "Aggregate", "Window", "Generate")) else df
+
+
 def split_hot(
     df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
 ) -> tuple[DataFrame, DataFrame | None]:
@@ -48,6 +54,7 @@ def split_hot(
     No broadcast hint: the hot-key table is on disk, so Spark knows its size
     and broadcasts it only below its own threshold.
     """
+    df = settled(df)
     hot = hot_keys(df, keys, hot_rows)
     if hot is None:
         return df, None

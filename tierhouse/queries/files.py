@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tierhouse.operators.validation import row_counts
 from tierhouse.queries.changes import FEED, OLD, SPEC
 from tierhouse.queries.registry import plain, query
 from tierhouse.scratch import scratch_path
@@ -32,23 +31,6 @@ def src_csv_append(src):
     return src.spark.read.schema(schema).parquet(out)
 
 
-MANIFEST = ("nation", "region", "supplier", "customer", "part", "orders", "lineitem", "events")
-
-
-@query(
-    "src_manifest",
-    " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in MANIFEST),
-)
-def src_manifest(src):
-    landing = scratch_path(src.spark, "landing")
-    loaded = {}
-    for name in MANIFEST:
-        table = getattr(src, name)
-        write_csv(table, f"{landing}/{name}")
-        loaded[name] = read_csv(src.spark, f"{landing}/{name}", table.schema)
-    return row_counts(loaded)
-
-
 @query("stream_file_ingest", "SELECT * FROM events")
 def stream_file_ingest(src):
     landing, out, checkpoint = (scratch_path(src.spark, n) for n in ("landing", "bronze", "stream"))

@@ -280,29 +280,6 @@ def running_sum(src):
     return running_total(events, ["user_id"], order, cents, "running_cents").drop("ts", "value")
 
 
-_LOG = f"""SELECT table_name, n_rows, CASE WHEN table_name IN ('pages', 'embeddings') THEN 'FAILED'
-  WHEN table_name = 'region' THEN 'INFO' ELSE 'SUCCESS' END AS status FROM ({_COUNTS}) c"""
-
-
-@query(
-    "load_summary",
-    f"""WITH log AS ({_LOG})
-SELECT '>> STEP: ' || rpad('LOAD_' || upper(table_name), 22, ' ') || ' | STATUS: ' || status ||
-  CASE status WHEN 'SUCCESS' THEN ' | RECORDS LOADED: ' || n_rows WHEN 'FAILED' THEN ' | ERROR: lost ' || n_rows || ' rows'
-  ELSE ' | NULL' END AS log_message FROM log""",
-)
-def load_summary_lines(src):
-    name = F.col("table_name")
-    status = F.when(name.isin("pages", "embeddings"), "FAILED").when(name == "region", "INFO").otherwise("SUCCESS")
-    log = _counts(src).select(
-        F.concat(F.lit("LOAD_"), F.upper(name)).alias("step_name"),
-        status.alias("status"),
-        F.col("n_rows").alias("records_loaded"),
-        F.when(status == "FAILED", F.format_string("lost %d rows", "n_rows")).alias("error_message"),
-    )
-    return log.select(summary_line().alias("log_message"))
-
-
 STAMPED = Table(
     "silver",
     "stamped",

@@ -61,7 +61,8 @@ class Warehouse:
     def create(self, *tables: Table, replace: bool = False) -> None:
         """Create if absent, or drop and create."""
         for table in tables:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{table.layer}")
+            layer = f"{self.prefix}{table.layer}"
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.root}/{layer}'")
             if replace and self.spark.catalog.tableExists(self.name(table)):
                 old = self._location(table)
                 self.spark.sql(f"DROP TABLE {self.name(table)}")
