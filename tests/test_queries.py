@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from tests.oracle import compare, connect
+from tierhouse import queries as registered
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -16,10 +17,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(registered.queries()) == set(registered.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(spark_entry.queries()))
+@pytest.mark.parametrize("name", list(registered.queries()))
 def test_query_agrees_with_sql(spark, con, name):
     problem, _ = compare(spark, con, name, FOLDER)
     assert not problem

@@ -101,3 +101,23 @@ def test_a_batch_reads_only_its_buckets(spark, tmp_path):
     assert [r.id for r in touched.collect()] == [1]
     scan = touched._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(version" in scan and "bucket" in scan.split("PartitionFilters")[1]
+
+
+def test_many_batches_leave_few_folders_and_no_scratch(spark, tmp_path):
+    from dataclasses import replace
+
+    from tierhouse import scratch
+
+    table = replace(make_table(spark, tmp_path), max_versions=5, buckets=2)
+    want = {1: 10, 2: 20}
+    for batch in range(14):
+        key = batch % 4 + 1
+        op = "delete" if batch % 3 == 2 else "upsert"
+        table.apply(spark.createDataFrame([(key, "n", batch, op, batch)], FEED), batch, RUN_TS)
+        want = {k: v for k, v in want.items() if k != key} | ({key: batch} if op == "upsert" else {})
+        assert len(table._versions(spark)) <= 6
+    assert {r.id: r.score for r in table.current(spark).collect()} == want
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch._application_folder(spark))
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    left = [f.getPath().getName() for f in system.listStatus(path)] if system.exists(path) else []
+    assert not [n for n in left if n.startswith(("load-", "before-batch"))]

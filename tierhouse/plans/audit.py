@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tierhouse.functions.text import template
 from tierhouse.schemas import LOAD_LOGS
+from tierhouse.scratch import scratch_scope
 from tierhouse.sources.warehouse import Warehouse
 
 INFO, SUCCESS, FAILED = "INFO", "SUCCESS", "FAILED"
@@ -139,15 +140,21 @@ def run_independent(audit: Audit, steps: list[Step], at_once: int = 4) -> None:
 
 @contextmanager
 def logged(warehouse: Warehouse, procedure: str, audit: Audit | None) -> Iterator[Audit]:
-    """The caller's audit, or one of its own that is written at the end, also after a failure."""
-    own = audit or Audit(procedure)
+    """The caller's audit, or one of its own that is written at the end, also after a failure.
+
+    The load that owns the audit also drops its intermediate tables.
+    """
+    if audit is not None:
+        yield audit
+        return
+    own = Audit(procedure)
     try:
-        yield own
+        with scratch_scope(warehouse.spark):
+            yield own
     finally:
-        if audit is None:
-            rows = list(own.rows)
-            own.flush(warehouse)
-            own.rows = rows
+        rows = list(own.rows)
+        own.flush(warehouse)
+        own.rows = rows
 
 
 def summary_line() -> Column:

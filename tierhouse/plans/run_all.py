@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from tierhouse.plans import bronze, gold, silver
-from tierhouse.plans.audit import Audit, utc_now
+from tierhouse.plans.audit import Audit, logged, utc_now
 from tierhouse.sources.warehouse import Warehouse
 
 
@@ -20,13 +20,8 @@ def run_all(
     """Each layer reads what the one before wrote; the log is kept also when a layer fails."""
     run_ts = run_ts or utc_now()
     as_of = as_of or run_ts.date()
-    audit = Audit("warehouse.run_all")
-    try:
+    with logged(warehouse, "warehouse.run_all", None) as audit:
         bronze.load(warehouse, landing, audit=audit)
         silver.load(warehouse, run_ts, as_of, silver_options, audit)
         gold.load(warehouse, run_ts, as_of, gold_options, audit)
-    finally:
-        rows = list(audit.rows)
-        audit.flush(warehouse)
-        audit.rows = rows
     return audit

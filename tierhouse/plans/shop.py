@@ -25,7 +25,7 @@ from tierhouse.operators.validation import (
 )
 from tierhouse.plans.audit import INFO, Audit, Step, load_summary, run_step
 from tierhouse.schemas import LOAD_LOGS, SHOP_BRONZE, SHOP_SILVER
-from tierhouse.scratch import written
+from tierhouse.scratch import scratch_scope, written
 from tierhouse.sources.warehouse import Warehouse
 
 # The reject messages; the tables' names are filled in first, the raw value for %s.
@@ -136,12 +136,14 @@ def load(
         warehouse.overwrite(silver["rejected_sales"], rejected_sales(flagged), run_ts)
         return warehouse.overwrite(silver["fact_products_sales"], fact_products_sales(flagged), run_ts)
 
-    for step in (
+    steps = (
         Step("LOAD_DIM_CUSTOMER", load_customer, warehouse.name(silver["dim_customer"])),
         Step("LOAD_DIM_PRODUCTS", load_products, warehouse.name(silver["dim_products"])),
         Step("LOAD_FACT_SALES", load_sales, warehouse.name(silver["fact_products_sales"])),
-    ):
-        run_step(audit, step, isolate=True)
+    )
+    with scratch_scope(warehouse.spark):
+        for step in steps:
+            run_step(audit, step, isolate=True)
 
     run_id = audit.run_id
     audit.flush(warehouse)

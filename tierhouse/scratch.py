@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,13 +28,33 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+# Folders of the loads that are running, innermost last; see scratch_scope().
+_scopes: list[str] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are deleted at the end.
+
+    For loads, whose results are in tables by then: a DataFrame that was built
+    inside must not be read afterwards. One load at a time in a session.
+    """
+    folder = f"{_application_folder(spark)}/load-{uuid.uuid4().hex}"
+    _scopes.append(folder)
+    try:
+        yield
+    finally:
+        _scopes.remove(folder)
+        drop_path(spark, folder)
+
+
 def _application_folder(spark: SparkSession) -> str:
     return f"{scratch_root(spark)}/tierhouse/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, not yet existing path under the shared folder."""
-    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_scopes[-1] if _scopes else _application_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 State is kept as appended row versions in hash buckets of the key: a batch reads
 only the buckets its keys fall into and writes only its keys, never the whole
-table. compact() starts a new base when many versions have piled up.
+table. Before a batch that finds `max_versions` versions, the newest rows of all
+are written as one version and the older ones deleted, so neither the folders to
+list nor the rows per key grow with the number of batches.
 """
 
 from __future__ import annotations
@@ -17,22 +19,28 @@ from pyspark.sql.streaming import StreamingQuery
 from tierhouse.operators.changes import ChangeSpec, apply_feed, feed_log
 from tierhouse.operators.dedupe import keep_latest
 from tierhouse.operators.skew import HOT_ROWS
-from tierhouse.scratch import drop_path, scratch_path
+from tierhouse.scratch import drop_path, scratch_scope, written
 from tierhouse.sources.warehouse import timestamp_lit
 from tierhouse.streaming.files import landing_stream
 
 VERSION = "version"
 BUCKET = "bucket"
 GONE = "_gone"
-BASE_VERSION = -1
+BASE_VERSION = -2  # batch n writes version 2n; 2n - 1 is what there was before it, in one version
+BUCKET_BYTES = 256 * 1024 * 1024
+
+
+def buckets_for(state_bytes: int) -> int:
+    """Buckets that keep one near 256 MB."""
+    return max(1, -(-state_bytes // BUCKET_BYTES))
 
 
 @dataclass(frozen=True)
 class ChangeTable:
     """A keyed table and its log as versioned parquet folders below `path`.
 
-    `buckets` cannot change once the table exists: take more for a larger
-    state (compact() into another table re-buckets it).
+    `buckets` (see buckets_for) cannot change once the table exists: take more
+    for a larger state (compact() into another table re-buckets it).
     """
 
     path: str
@@ -40,6 +48,7 @@ class ChangeTable:
     spec: ChangeSpec
     hot_rows: int = HOT_ROWS
     buckets: int = 16
+    max_versions: int = 24
 
     @property
     def state_path(self) -> str:
@@ -73,13 +82,33 @@ class ChangeTable:
         """
         # At most one number per bucket reaches the driver.
         buckets = [r[0] for r in keys.select(self._bucket()).distinct().collect()]
-        rows = self._state(keys.sparkSession).where((F.col(VERSION) < batch_id) & F.col(BUCKET).isin(buckets))
+        rows = self._state(keys.sparkSession).where((F.col(VERSION) < 2 * batch_id) & F.col(BUCKET).isin(buckets))
         return rows.join(keys, self.spec.key, "left_semi")
 
     def _newest(self, rows: DataFrame) -> DataFrame:
         newest = keep_latest(rows, [self.spec.key], [VERSION], tie_break=[])
         return newest.where(~F.col(GONE)).select(*self.schema.fieldNames())
 
+    def _versions(self, spark: SparkSession) -> list[int]:
+        """At most a few more than max_versions."""
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.state_path)
+        found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+        return sorted(int(n.split("=")[1]) for f in found if (n := f.getPath().getName()).startswith(f"{VERSION}="))
+
+    def _gather(self, spark: SparkSession, batch_id: int) -> None:
+        """All versions before the batch as one. A crash on the way leaves rows twice, and the newest counts."""
+        old = [v for v in self._versions(spark) if v < 2 * batch_id]
+        if len(old) < self.max_versions:
+            return
+        rows = self._state(spark).where(F.col(VERSION) < 2 * batch_id)
+        newest = keep_latest(rows, [self.spec.key], [VERSION], tie_break=[])
+        # A key deleted before the last gathering is in no older version any more.
+        kept = newest.where(~F.col(GONE) | (F.col(VERSION) > old[0])).select(*self.schema.fieldNames(), GONE)
+        self._write_state(kept, 2 * batch_id - 1)
+        for version in old:
+            if version != 2 * batch_id - 1:
+                drop_path(spark, f"{self.state_path}/{VERSION}={version}")
+
     def current(self, spark: SparkSession) -> DataFrame:
         """The table as of the last batch."""
         return self._newest(self._state(spark))
@@ -89,19 +118,21 @@ class ChangeTable:
 
     def apply(self, feed: DataFrame, batch_id: int, run_ts: str) -> None:
         """Apply one batch. Every output folder is named by the batch, so repeating it replaces them."""
+        self._gather(feed.sparkSession, batch_id)
+        with scratch_scope(feed.sparkSession):
+            self._apply(feed, batch_id, run_ts)
+
+    def _apply(self, feed: DataFrame, batch_id: int, run_ts: str) -> None:
         key = self.spec.key
         last_op = feed.groupBy(key).agg(F.max_by(self.spec.op, self.spec.seq).alias("_last_op"))
         # Read by the log and by the new state: written once, as large as the batch's keys.
-        path = scratch_path(feed.sparkSession, "before-batch")
-        self._newest(self._touched(last_op.select(key), batch_id)).write.parquet(path)
-        before = feed.sparkSession.read.schema(self.schema).parquet(path)
+        before = written(self._newest(self._touched(last_op.select(key), batch_id)), "before-batch")
         log = feed_log(before, feed, self.spec, self.hot_rows).withColumn("changed_at", timestamp_lit(run_ts))
         log.write.mode("overwrite").parquet(f"{self.log_path}/{VERSION}={batch_id}")
         kept = apply_feed(before, feed, self.spec, timestamp_lit(run_ts)).withColumn(GONE, F.lit(False))
         empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields if f.name != key]
         gone = last_op.where(F.col("_last_op") == "delete").select(key, *empty, F.lit(True).alias(GONE))
-        self._write_state(kept.unionByName(gone), batch_id)
-        drop_path(feed.sparkSession, path)
+        self._write_state(kept.unionByName(gone), 2 * batch_id)
 
     def compact(self, spark: SparkSession, target: ChangeTable) -> None:
         """Current rows as the base of another table folder."""
