@@ -8,10 +8,12 @@ Documents with equal sets form a class and only its representative goes on.
 In each bucket the member that meets most others in all its buckets is the
 hub (in a group of copies that is the original or what comes closest), and
 every member is compared with the hub alone, on full sets: one pair for each
-member, however large the bucket. Only where that leaves a bucket in several
-components are other pairs looked at, between components and only if they can
-reach the threshold at all: shingles that no other remaining document has
-bound the intersection, exactly. Components are then joined once more.
+member, however large the bucket. Only where that leaves the members in
+several components are other pairs looked at. Two members of a bucket can be
+alike enough only if what sets one of them apart from the hub sets the other
+apart, too, so they meet through those differences, by an exact prefix filter
+(`_differences`), and not as all pairs of the bucket. Components are then
+joined once more.
 
 Every pair that shares a bucket is thus compared, known to be connected, or
 proven too unlike; a pair at the threshold shares none with a probability
@@ -127,42 +129,73 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(_enough(common, F.size("__a"), F.size("__b"), percent)).select("a", "b")
 
 
-def _crossing(live: DataFrame, groups: DataFrame) -> DataFrame:
-    """The rows of buckets whose members are in more than one component, with __group."""
-    known = live.join(groups.withColumnRenamed("node", "__node"), "__node", "left").select(
-        "__key", "__node", "__n", F.coalesce("component", "__node").alias("__group")
+def _crossing(live: DataFrame, hubs: DataFrame, groups: DataFrame) -> DataFrame:
+    """(__hub, __node, __group) of the buckets in which members besides the hub are in different components."""
+    known = (
+        live.join(groups.withColumnRenamed("node", "__node"), "__node", "left")
+        .join(hubs, "__key")
+        .where(F.col("__node") != F.col("__hub"))
+        .select("__key", "__hub", "__node", F.coalesce("component", "__node").alias("__group"))
     )
-    mixed = (
-        known.groupBy("__key")
-        .agg(F.min("__group").alias("lo"), F.max("__group").alias("hi"))
-        .where("lo <> hi")
-        .select("__key")
+    mixed = known.groupBy("__key").agg(F.min("__group").alias("lo"), F.max("__group").alias("hi")).where("lo <> hi").select("__key")
+    return known.join(mixed, "__key").select("__hub", "__node", "__group").distinct()
+
+
+def _differences(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Each member with how its set differs from the hub's, as prefixes that a partner must meet.
+
+    With R removed and A added shingles, two members' intersection is the hub's
+    size less all their R, plus what their removed and their added shingles
+    have in common. To reach the threshold they must share at least
+    (W + W' - K) / (100 + percent) differences, W = 100 R + percent A and
+    K = (100 - percent) * hub. A member with W <= K is near: linked to the hub,
+    hence to all others that are near. So one of a pair is far, and
+
+    - either one shares more than W / (100 + percent) with a far partner,
+    - a far one shares at least (W - K) / (100 + percent) with a near partner.
+
+    In any fixed order of differences, here added ones first, two members that
+    share s of theirs share one among all but the last s - 1 of each.
+    """
+    hub = sets.select(F.col("__node").alias("__hub"), F.col("__set").alias("__h"))
+    both = rest.join(sets, "__node").join(hub, "__hub")
+    added = F.array_sort(F.array_except("__set", "__h"))
+    removed = F.array_sort(F.array_except("__h", "__set"))
+    made = both.select("__hub", "__node", "__group", F.size("__h").alias("__hubs"), added.alias("__added"), removed.alias("__removed"))
+    weight = 100 * F.size("__removed") + percent * F.size("__added")
+    slack = (100 - percent) * F.col("__hubs")
+    count = F.size("__added") + F.size("__removed")
+    with_far = count - F.floor(weight / (100 + percent)).cast("int")
+    with_near = count - F.greatest(F.lit(1), F.ceil((weight - slack) / (100 + percent)).cast("int")) + 1
+    far = weight > slack
+    # Removed shingles are told from added ones by their complement.
+    listed = F.concat("__added", F.transform("__removed", lambda x: F.bitwise_not(x)))
+    reach = F.when(far, F.greatest(with_far, with_near)).otherwise(with_far)
+    return made.select(
+        "__hub", "__node", "__group", far.alias("__far"), with_far.alias("__with_far"), with_near.alias("__with_near"),
+        count.alias("__count"), weight.alias("__weight"), slack.alias("__slack"),
+        F.posexplode(F.slice(listed, F.lit(1), F.greatest(F.lit(0), reach))).alias("__at", "__what"),
     )
-    return known.join(mixed, "__key")
 
 
 def _possible(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket and two components that can be alike enough, given what no one else has."""
-    nodes = rest.select("__node").distinct()
-    alone = (
-        sets.join(nodes, "__node")
-        .select("__node", F.explode("__set").alias("s"))
-        .groupBy("s")
-        .agg(F.min("__node").alias("__node"), F.max("__node").alias("other"))
-        .where("__node = other")
-        .groupBy("__node")
-        .agg(F.count(F.lit(1)).alias("__alone"))
-    )
-    shared = F.col("__n") - F.coalesce("__alone", F.lit(0))
-    able = rest.join(alone, "__node", "left").withColumn("__shared", shared).where(_enough(F.col("__shared"), F.col("__n"), F.col("__shared"), percent))
-    able = written(able.select("__key", "__node", "__n", "__group", "__shared"), "minhash-able")
-    left, right = able.alias("l"), able.alias("r")
-    sizes = _enough(F.least("l.__shared", "r.__shared"), F.col("l.__n"), F.col("r.__n"), percent)
-    pairs = left.join(
-        right,
-        (F.col("l.__key") == F.col("r.__key")) & (F.col("l.__node") < F.col("r.__node")) & (F.col("l.__group") != F.col("r.__group")) & sizes,
+    """Pairs of one hub and two components that share enough of their differences to be alike enough."""
+    prefixes = written(_differences(rest, sets, percent), "minhash-differences")
+    one, two = prefixes.where("__far").alias("l"), prefixes.alias("r")
+    # The first difference that two members share leaves no more to share than what follows it in either.
+    most = F.least(F.col("l.__count") - F.col("l.__at"), F.col("r.__count") - F.col("r.__at"))
+    enough = (100 + percent) * most >= F.col("l.__weight") + F.col("r.__weight") - F.col("l.__slack")
+    met = (
+        (F.col("l.__hub") == F.col("r.__hub"))
+        & (F.col("l.__what") == F.col("r.__what"))
+        & (F.col("l.__group") != F.col("r.__group"))
+        & F.when(F.col("r.__far"), (F.col("l.__node") < F.col("r.__node")) & (F.col("l.__at") < F.col("l.__with_far"))).otherwise(
+            F.col("l.__at") < F.col("l.__with_near")
+        )
+        & (F.col("r.__at") < F.col("r.__with_far"))
+        & enough
     )
-    return pairs.select(F.col("l.__node").alias("a"), F.col("r.__node").alias("b")).distinct()
+    return one.join(two, met).select(F.col("l.__node").alias("a"), F.col("r.__node").alias("b")).distinct()
 
 
 def linked_groups(classes: DataFrame, docs: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
@@ -173,6 +206,7 @@ def linked_groups(classes: DataFrame, docs: DataFrame, doc_id: str, text: str, w
     met = live.groupBy("__node").agg(F.sum("__count").alias("__met"))
     ranked = live.join(met, "__node").select("__key", "__node", "__n", F.struct((-F.col("__met")).alias("o"), "__node", "__n").alias("__rank"))
     hubs = ranked.groupBy("__key").agg(F.min("__rank").alias("h")).select("__key", F.col("h.__node").alias("__hub"), F.col("h.__n").alias("__hub_n"))
+    hubs = written(hubs, "minhash-hubs")
     star = (
         live.join(hubs, "__key")
         .where(F.col("__node") != F.col("__hub"))
@@ -184,7 +218,7 @@ def linked_groups(classes: DataFrame, docs: DataFrame, doc_id: str, text: str, w
     sets = written(shingle_sets(texts.join(met.select("__node"), "__node"), "__body", ["__node"], width), "minhash-sets")
     links = written(confirmed(star, sets, percent), "minhash-links")
     groups = components(links)
-    rest = written(_crossing(live, groups), "minhash-rest")
+    rest = written(_crossing(live, hubs.drop("__hub_n"), groups), "minhash-rest")
     more = written(confirmed(_possible(rest, sets, percent), sets, percent), "minhash-more")
     if more.isEmpty():
         return groups
