@@ -115,6 +115,21 @@ def test_exact_amount_keeps_nine_decimals(spark):
     assert got.first()[0] == Decimal("2.246913578")
 
 
+def test_exact_amount_over_the_whole_range(spark):
+    cases = [(10_000_000_000, "1.5"), (9_223_372_036_854_775_807, "123456789.123456789"), (-3, "1234567890123456789.000000001"), (0, "5")]
+    df = spark.createDataFrame([(q, Decimal(p)) for q, p in cases], "q bigint, p decimal(38,9)")
+    import decimal
+
+    with decimal.localcontext() as wide:
+        wide.prec = 60
+        assert [r[0] for r in df.select(numbers.exact_amount("q", "p")).collect()] == [q * Decimal(p) for q, p in cases]
+
+
+def test_weighted_score_of_wide_values(spark):
+    df = spark.createDataFrame([(Decimal("1234567890123456789012345.000000001"), Decimal(5))], "t decimal(38,9), l decimal(38,9)")
+    assert df.select(rules.weighted_score("t", "l")).first()[0] == Decimal("740740734074074073407409.000000001")
+
+
 def test_fallbacks(spark):
     df = spark.createDataFrame([(10, 0), (9, 2), (None, 2)], "a bigint, b bigint")
     assert [r[0] for r in df.select(numbers.divide_or("a", "b")).collect()] == [0.0, 4.5, 0.0]

@@ -72,7 +72,7 @@ def prefer(first: Column | str, second: Column | str, missing: str = NOT_AVAILAB
 
 def weighted_score(theory: Column | str, lab: Column | str, strict: bool = True) -> Column:
     """60 % theory and 40 % lab in decimals; a negative score fails the job (or gives NULL)."""
-    t, l = _col(theory).cast("decimal(28,9)"), _col(lab).cast("decimal(28,9)")
+    t, l = _col(theory).cast("decimal(34,9)"), _col(lab).cast("decimal(34,9)")
     score = (t * F.lit("0.60").cast("decimal(2,2)") + l * F.lit("0.40").cast("decimal(2,2)")).cast("decimal(38,9)")
     negative = (t < 0) | (l < 0)
     bad = F.raise_error(F.lit("Scores cannot be negative")).cast("decimal(38,9)") if strict else F.lit(None)

@@ -34,7 +34,7 @@ def _definitions() -> dict[str, str]:
         "parse_date_safe(p_date_str STRING) RETURNS DATE": (
             f"coalesce({', '.join(_parsed(day, f) for f in DATE_FORMATS)})"
         ),
-        "calculate_final_score(p_theory_score DECIMAL(28,9), p_lab_score DECIMAL(28,9)) RETURNS DECIMAL(38,9)": (
+        "calculate_final_score(p_theory_score DECIMAL(34,9), p_lab_score DECIMAL(34,9)) RETURNS DECIMAL(38,9)": (
             "CASE WHEN p_theory_score < 0 OR p_lab_score < 0 "
             "THEN CAST(raise_error('Scores cannot be negative') AS DECIMAL(38,9)) "
             "ELSE CAST(p_theory_score * 0.60 + p_lab_score * 0.40 AS DECIMAL(38,9)) END"
