@@ -42,7 +42,7 @@ WINDOW = SPAN - GRAM + 1
 #: Bytes of segments in one suffix array.
 BLOCK = 1 << 19
 #: Bytes of text that a task packs together, and that a shard's segments come from at most, about.
-PACKED, SHARD_BYTES = 2 << 20, 16 << 20
+PACKED, SHARD_BYTES, UNKNOWN_BYTES = 2 << 20, 64 << 20, 1 << 58
 #: How hard shuffled bytes are compressed, which is what most of this operator's disk goes by.
 LEVEL = 6
 #: A gram is common if the sampled share of the documents has it this often.
@@ -345,7 +345,8 @@ def removed_ranges(docs: DataFrame) -> DataFrame:
     """(__of, __in, __ranges) for rows with __id, __part, __body that lose something."""
     spark = docs.sparkSession
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
+    known = size if size < UNKNOWN_BYTES else 0  # Spark takes a frame that is no file for endless
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-known // SHARD_BYTES))
     packs = _segments_of(docs, _common_grams(docs), shards)
     ranges = in_tasks(packs.repartitionById(shards, F.col("shard")), _ranges, "id bigint, part bigint, first bigint, last bigint")
     return ranges.groupBy(F.col("id").alias("__of"), F.col("part").alias("__in")).agg(
