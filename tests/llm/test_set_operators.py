@@ -282,3 +282,12 @@ def test_url_templates_reject_bad_branches(spark):
     seen = Counter((r.template, r.verdict) for r in out.collect())
     assert seen == {("h.org/good/*", "allow"): 400, ("h.org/spam/*", "block"): 400, ("wide.org/*/*", "allow"): 400}
     assert url_templates.url_verdicts(pages.limit(0), labels, []).isEmpty()
+
+
+def test_frequent_branch_beside_many_rare_ones(spark):
+    letters = "".join(chr(97 + i) for i in range(26))
+    rows = [(i, f"http://h.org/{letters[i % 26]}{letters[i // 26 % 26]}{letters[i // 676]}/home", False) for i in range(1500)]
+    rows += [(10_000 + i, f"http://h.org/casino/{i}", True) for i in range(100)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, bad boolean")
+    out = url_templates.url_verdicts(pages, pages.select("page_id", "bad"), [])
+    assert Counter((r.template, r.verdict) for r in out.collect()) == {("h.org/*/*", "allow"): 1500, ("h.org/casino/*", "block"): 100}

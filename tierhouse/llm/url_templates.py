@@ -1,8 +1,8 @@
 """URL filter: explicit rules first, then templates of each host's paths.
 
 Each host's paths form a tree of segments. A segment with a digit is a
-variable; so are the children of a node that has very many, few of which
-repeat. Branches of a node that do not differ statistically from their
+variable; so are the children of a node that rarely repeat, if it has very many
+of them (children that do repeat are left to the next test). Branches of a node that do not differ statistically from their
 siblings in labelled purity are merged into one wildcard branch, level by
 level; branches that do differ stay. Each remaining template gets the share of
 bad labelled pages, smoothed towards its host's share, which is smoothed
@@ -29,7 +29,7 @@ from tierhouse.llm.common import written
 #: (action, host, path)
 Rule = tuple[str, str, str]
 DEPTH = 5
-#: A node with more children than WIDE, of fewer than REPEATS pages each on average, has variable children.
+#: Where a node has more than WIDE children of fewer than REPEATS pages each, those are variable.
 WIDE, REPEATS = 20, 4.0
 #: Branches differ if their shares are so many standard errors apart.
 DIFFERS = 3.0
@@ -75,18 +75,16 @@ def _replace(level: int) -> Column:
 
 
 def _generalised(tree: DataFrame, level: int) -> DataFrame:
-    """Wildcards for the children of very wide nodes at this level."""
+    """Wildcards for the rare children of nodes that have very many of them at this level."""
     here = tree.where(F.size("__template") > level).select("__host", _prefix(level).alias("__above"), F.get("__template", F.lit(level)).alias("__child"), "__n")
-    wide = (
-        here.groupBy("__host", "__above", "__child")
-        .agg(F.sum("__n").alias("__n"))
-        .groupBy("__host", "__above")
-        .agg(F.count(F.lit(1)).alias("__children"), F.sum("__n").alias("__n"))
-        .where((F.col("__children") > WIDE) & (F.col("__n") < REPEATS * F.col("__children")))
-        .select("__host", "__above", F.lit(True).alias("__wide"))
+    rare = here.groupBy("__host", "__above", "__child").agg(F.sum("__n").alias("__n")).where(F.col("__n") < REPEATS).drop("__n")
+    wide = rare.groupBy("__host", "__above").agg(F.count(F.lit(1)).alias("__children")).where(F.col("__children") > WIDE).drop("__children")
+    variable = rare.join(wide, ["__host", "__above"]).withColumn("__variable", F.lit(True))
+    joined = (
+        tree.withColumns({"__above": _prefix(level), "__child": F.get("__template", F.lit(level))})
+        .join(variable, ["__host", "__above", "__child"], "left")
     )
-    joined = tree.withColumn("__above", _prefix(level)).join(wide, ["__host", "__above"], "left")
-    new = F.when(F.col("__wide") & (F.size("__template") > level), _replace(level)).otherwise(F.col("__template"))
+    new = F.when(F.col("__variable"), _replace(level)).otherwise(F.col("__template"))
     return joined.select("__host", "__shape", new.alias("__template"), "__n", "__known", "__bad")
 
 
