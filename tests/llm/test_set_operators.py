@@ -291,3 +291,22 @@ def test_frequent_branch_beside_many_rare_ones(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, bad boolean")
     out = url_templates.url_verdicts(pages, pages.select("page_id", "bad"), [])
     assert Counter((r.template, r.verdict) for r in out.collect()) == {("h.org/*/*", "allow"): 1500, ("h.org/casino/*", "block"): 100}
+
+
+def test_branches_of_deep_paths(spark):
+    rows = []
+    for i in range(200):
+        rows.append((i, f"http://h.org/2024/05/a/b/c/news/{'x/' * (i % 3)}{i}", False))
+        rows.append((1000 + i, f"http://h.org/2024/05/a/b/c/casino/{'x/' * (i % 3)}{i}", True))
+        rows.append((2000 + i, f"http://flat.org/a/b/c/d/e/f{'/y' * (i % 4)}", False))
+        rows.append((3000 + i, f"http://length.org/a/b/c/d/e/{i}{'/1' * (i % 2)}", i % 2 == 0))
+    pages = spark.createDataFrame(rows, "page_id long, url string, bad boolean")
+    out = url_templates.url_verdicts(pages, pages.select("page_id", "bad"), [])
+    want = {
+        ("h.org/*/*/*/*/*/news/**", "allow"): 200,
+        ("h.org/*/*/*/*/*/casino/**", "block"): 200,
+        ("flat.org/*/*/*/*/*/**", "allow"): 200,
+        ("length.org/*/*/*/*/*/*", "block"): 100,
+        ("length.org/*/*/*/*/*/*/*", "allow"): 100,
+    }
+    assert Counter((r.template, r.verdict) for r in out.collect()) == want

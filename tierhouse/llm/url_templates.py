@@ -11,7 +11,10 @@ rejected.
 
 The tree is a table of (host, path shape) with counts: it is pre-aggregated
 before anything else, so a host with a third of all pages is a few rows.
-Levels beyond `DEPTH` are one wildcard.
+Levels are settled one by one, as deep as a node still holds labelled pages of
+different paths; further down no label can part anything, and all segments are
+wildcards. Wildcards at the end that go beyond `DEPTH` are one, `**`, for paths
+of all lengths, unless the labelled shares of the lengths differ.
 
 Defined cases: a null url, or one without `://`, has an empty host and path
 and is judged like any other host's page; A-Z of the host are lower-cased;
@@ -28,6 +31,7 @@ from tierhouse.llm.common import written
 
 #: (action, host, path)
 Rule = tuple[str, str, str]
+#: How many segments a template shows at least before its end may be `**`.
 DEPTH = 5
 #: Where a node has more than WIDE children of fewer than REPEATS pages each, those are variable.
 WIDE, REPEATS = 20, 4.0
@@ -58,11 +62,9 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
 
 
 def shape(path: Column) -> Column:
-    """The path's segments, those with a digit as wildcards, at most DEPTH and one for the rest."""
+    """The path's segments, those with a digit as wildcards."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    named = F.transform(parts, lambda s: F.when(s.rlike("[0-9]"), F.lit(ANY)).otherwise(s))
-    cut = F.concat(F.slice(named, 1, DEPTH), F.array(F.lit(ANY * 2)))
-    return F.when(F.size(named) > DEPTH, cut).otherwise(named)
+    return F.transform(parts, lambda s: F.when(s.rlike("[0-9]"), F.lit(ANY)).otherwise(s))
 
 
 def _prefix(levels: int) -> Column:
@@ -88,11 +90,8 @@ def _generalised(tree: DataFrame, level: int) -> DataFrame:
     return joined.select("__host", "__shape", new.alias("__template"), "__n", "__known", "__bad")
 
 
-def _merged(tree: DataFrame, level: int) -> DataFrame:
-    """One wildcard branch for the children that do not differ from their siblings at this level."""
-    here = tree.where(F.size("__template") > level).select(
-        "__host", _prefix(level).alias("__above"), F.get("__template", F.lit(level)).alias("__child"), "__known", "__bad"
-    )
+def _apart(here: DataFrame) -> DataFrame:
+    """(__host, __above, __child) of the children whose labelled share differs from their siblings'."""
     branch = here.groupBy("__host", "__above", "__child").agg(F.sum("__known").alias("__bk"), F.sum("__bad").alias("__bb"))
     node = branch.groupBy("__host", "__above").agg(F.sum("__bk").alias("__nk"), F.sum("__bb").alias("__nb"))
     rest_k, rest_b = F.col("__nk") - F.col("__bk"), F.col("__nb") - F.col("__bb")
@@ -102,15 +101,37 @@ def _merged(tree: DataFrame, level: int) -> DataFrame:
         (F.col("__bk") > 0) & (rest_k > 0) & (F.col("__nb") > 0) & (F.col("__nb") < F.col("__nk")),
         F.abs(F.try_divide("__bb", "__bk") - F.try_divide(rest_b, rest_k)) > DIFFERS * F.coalesce(error, F.lit(0.0)),
     ).otherwise(F.lit(False))
-    own = branch.join(node, ["__host", "__above"]).where(differs).select("__host", "__above", "__child", F.lit(True).alias("__own"))
-    joined = (
-        tree.withColumns({"__above": _prefix(level), "__child": F.get("__template", F.lit(level))})
-        .join(own, ["__host", "__above", "__child"], "left")
-    )
+    return branch.join(node, ["__host", "__above"]).where(differs).select("__host", "__above", "__child", F.lit(True).alias("__own"))
+
+
+def _merged(tree: DataFrame, level: int) -> DataFrame:
+    """One wildcard branch for the children that do not differ from their siblings at this level."""
+    here = tree.withColumns({"__above": _prefix(level), "__child": F.get("__template", F.lit(level))})
+    joined = here.join(_apart(here.where(F.size("__template") > level)), ["__host", "__above", "__child"], "left")
     new = F.when(F.col("__own").isNull() & (F.size("__template") > level), _replace(level)).otherwise(F.col("__template"))
     return joined.select("__host", "__shape", new.alias("__template"), "__n", "__known", "__bad")
 
 
+def _settled(tree: DataFrame, level: int) -> bool:
+    """Whether no node at this level holds labelled pages of different paths."""
+    known = tree.where("__known > 0").select("__host", _prefix(level).alias("__above"), "__template")
+    return known.groupBy("__host", "__above").agg(F.min("__template").alias("a"), F.max("__template").alias("b")).where("a <> b").isEmpty()
+
+
+def _ended(tree: DataFrame, level: int) -> DataFrame:
+    """Wildcards from this level on; at the end and beyond DEPTH they are one for all lengths that do not differ."""
+    whole = F.transform("__template", lambda s, i: F.when(i >= level, F.lit(ANY)).otherwise(s))
+    named = F.aggregate(
+        F.transform("__child", lambda s, i: F.when(s != ANY, i + 1).otherwise(F.lit(0))), F.lit(0), lambda a, x: F.greatest(a, x)
+    )
+    here = tree.withColumn("__child", whole).withColumn("__keep", F.greatest(named, F.lit(DEPTH)))
+    here = here.withColumn("__above", F.slice("__child", F.lit(1), F.col("__keep"))).withColumn("__long", F.size("__child") > F.col("__keep"))
+    joined = here.join(_apart(here.where("__long")), ["__host", "__above", "__child"], "left")
+    one = F.col("__long") & F.col("__own").isNull()
+    new = F.when(one, F.concat("__above", F.array(F.lit(ANY * 2)))).otherwise(F.col("__child"))
+    return joined.select("__host", "__shape", new.alias("__template"), "__n", "__known", "__bad")
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """(__host, __shape) with its __template and __purity. `pages` has __host, __shape, __is_bad (null: not labelled)."""
     tree = written(
@@ -121,10 +142,12 @@ def templates(pages: DataFrame) -> DataFrame:
         ).withColumn("__template", F.col("__shape")),
         "url-shapes",
     )
-    depth = min(DEPTH, tree.agg(F.max(F.size("__shape")).alias("d")).first().d or 0)
-    for step in (_generalised, _merged):
-        for level in range(depth):  # written, as each level reads the one above twice
+    level = 0
+    while not _settled(tree, level):
+        for step in (_generalised, _merged):  # written, as each level reads the one above twice
             tree = written(step(tree, level), f"url-level{level}")
+        level += 1
+    tree = written(_ended(tree, level), "url-ended")
     counts = (F.sum("__known").alias("__k"), F.sum("__bad").alias("__b"))
     whole = tree.agg(*counts).first()
     base = (whole["__b"] or 0) / (whole["__k"] or 1)
