@@ -141,6 +141,37 @@ def test_added_kinds_need_checksum_or_context():
     assert pii.added_spans("part 123-45-6789") == []
 
 
+@pytest.mark.parametrize(
+    "before, iban, after",
+    [
+        ("IBAN ", "DE89 3704 0044 0532 0130 00", " BIC COBADEFFXXX"),
+        ("", "GB82 WEST 1234 5698 7654 32", " EUR 500"),
+        ("", "DE89370400440532013000", " 2024"),
+        ("", "DE89370400440532013000", " 2024 OR LATER AND SO ON 1 2 3"),
+        ("REF AB12 ", "DE89 3704 0044 0532 0130 00", ""),
+        ("as part of the deal ", "DE89370400440532013000", " is used"),
+        ("serial ", "GB82WEST12345698765432", "."),
+    ],
+)
+def test_ibans_end_where_their_checksum_holds(before, iban, after):
+    text = before + iban + after
+    assert [s[:3] for s in pii.added_spans(text)] == [("iban", len(before), len(before) + len(iban))]
+    assert pii.redact(text).startswith(f"{before}<IBAN>")
+
+
+def test_every_registered_iban_length():
+    import random
+
+    random.seed(7)
+    for country, n in pii._IBAN_LENGTHS.items():
+        body = "".join(random.choices("0123456789", k=n - 4))
+        check = 98 - int("".join(str(int(c, 36)) for c in body + country + "00")) % 97
+        iban = f"{country}{check:02d}{body}"
+        grouped = " ".join(iban[i : i + 4] for i in range(0, n, 4))
+        for made in (iban, grouped):
+            assert [s[:3] for s in pii.added_spans(f"{made} AND 12 MORE")] == [("iban", 0, len(made))]
+
+
 def test_redaction_keeps_rows_and_columns(odd):
     out = pii.redacted(odd)
     assert out.columns == odd.columns and out.count() == odd.count()

@@ -4,7 +4,9 @@ Four base kinds are fixed: email, ip, card (Luhn) and phone. The method adds
 two more: iban (mod-97) and ssn. A proposal of those starts with the score of
 its pattern; a checksum that holds raises it, one that fails drops it; a
 context word within `CONTEXT` characters raises it, a word that speaks of
-something else lowers it. Proposals of `ACCEPT` and more are spans.
+something else lowers it, but not against a checksum that holds. Proposals of
+`ACCEPT` and more are spans. An iban may end at any border of a token: its
+country's registered length is tried first, then the other ends, longest first.
 
 Every pattern runs in time linear in the text: a run of digits or address
 characters is entered at its start only, which changes no leftmost match.
@@ -39,12 +41,25 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[^0-9]+")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+#: Each start, with the longest text that could belong to it.
+_IBAN = re.compile(r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])))")
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 
+#: Registered lengths of ibans by country.
+_IBAN_LENGTHS = {
+    c: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ DZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+        30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for c in countries.split()
+}
+
 #: kind: (score of the pattern, words that raise it by 0.3, words that lower it by 0.4)
 _SCORES = {
-    "iban": (0.4, re.compile(r"\b(iban|account|konto|cuenta|compte|bank|bic)\b", re.I), re.compile(r"\b(isbn|serial|part)\b", re.I)),
+    "iban": (0.4, re.compile(r"\b(iban|account|konto|cuenta|compte|bank|bic)\b", re.I), None),
     "ssn": (0.4, re.compile(r"\b(ssn|social|security|taxpayer)\b", re.I), re.compile(r"\b(isbn|serial|part|phone|tel)\b", re.I)),
 }
 
@@ -62,6 +77,23 @@ def mod97(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in turned)) % 97 == 1
 
 
+def _ibans(text: str) -> list[tuple[int, int]]:
+    found, end = [], 0
+    for m in _IBAN.finditer(text):
+        if m.start() < end:
+            continue
+        run = m[1]
+        ends = [len(run), *(i for i in range(len(run) - 1, 0, -1) if run[i] == " ")]
+        tried = [(e, run[:e].replace(" ", "")) for e in ends]
+        due = _IBAN_LENGTHS.get(run[:2])
+        for e, bare in sorted(tried, key=lambda t: len(t[1]) != due):
+            if len(bare) >= 15 and mod97(bare):
+                end = m.start() + e
+                found.append((m.start(), end))
+                break
+    return found
+
+
 def _octet(digits: str) -> bool:
     digits = digits.lstrip("0")
     return len(digits) <= 3 and int(digits or 0) <= 255
@@ -102,18 +134,14 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 def added_spans(text: str) -> list[tuple[str, int, int, float]]:
     """Spans of the other kinds with their scores."""
     found = []
-    for kind, pattern in (("iban", _IBAN), ("ssn", _SSN)):
+    for kind, spans in (("iban", _ibans(text)), ("ssn", [m.span() for m in _SSN.finditer(text)])):
         base, good, bad = _SCORES[kind]
-        for m in pattern.finditer(text):
-            score = base
-            if kind == "iban":
-                if not mod97(m[0].replace(" ", "")):
-                    continue
-                score += 0.4
-            near = text[max(0, m.start() - CONTEXT) : m.start()] + "\n" + text[m.end() : m.end() + CONTEXT]
-            score += 0.3 * bool(good.search(near)) - 0.4 * bool(bad.search(near))
+        confirmed = kind == "iban"  # its checksum holds
+        for start, end in spans:
+            near = text[max(0, start - CONTEXT) : start] + "\n" + text[end : end + CONTEXT]
+            score = base + 0.3 * bool(good.search(near)) + (0.4 if confirmed else -0.4 * bool(bad.search(near)))
             if score >= ACCEPT:
-                found.append((kind, *m.span(), score))
+                found.append((kind, start, end, score))
     return found
 
 
