@@ -194,6 +194,27 @@ def test_decontaminated_rows(odd, items, empty):
     assert decontaminate.contaminated_rows(empty, items).isEmpty()
 
 
+def test_items_without_an_id(spark, tmp_path):
+    import duckdb
+
+    from tierhouse.llm import queries
+
+    texts = [" ".join(f"{c}{i}" for i in range(14)) for c in "abcd"]
+    items = [(None, texts[0]), (None, texts[1]), (None, "short one"), (3, texts[1]), (4, texts[2]), (4, "other text"), (5, "short one")]
+    docs = [(1, f"x {texts[0]} y"), (2, texts[1]), (3, f"{texts[0]} {texts[2]}"), (4, texts[3]), (5, "a short one"), (6, f"other text {texts[1]}"), (7, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    name = "op8_decontamination"
+    out = queries.queries()[name](spark, str(tmp_path))
+    want = con.sql(queries.oracle_sql()[name]).to_arrow_table().select(out.columns).to_pylist()
+    assert Counter(map(tuple, out.collect())) == Counter(tuple(r.values()) for r in want)
+    left = decontaminate.without_contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r.doc_id for r in left.collect()} == {4, 7}
+
+
 def plain_targets(sizes):
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
     weights = {s: i % 3 + 1 for i, s in enumerate(names)}

@@ -81,30 +81,30 @@ def _of_length(df: DataFrame, key: str, tokens: Column, n: int) -> DataFrame:
 
 
 def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(__key, item_id, __diagonals) of each document and item with equal fingerprints.
+    """(__key, __item_key, __diagonals) of each document and item with equal fingerprints.
 
-    `docs` has __key and __text; `items` has item_id and __item (words), one row
-    each. There are never more diagonals than words in the two together.
+    `docs` has __key and __text; `items` has __item_key (not null) and __item
+    (words), one row each. There are never more diagonals than words in the two together.
     """
     sized = items.where(F.size("__item") > 0)
     long_items = sized.where(F.size("__item") >= SPAN)
     tokens = words(F.col("__text"))
-    met = [_met(_selected(docs, "__key", tokens), _selected(long_items, "item_id", F.col("__item")))]
+    met = [_met(_selected(docs, "__key", tokens), _selected(long_items, "__item_key", F.col("__item")))]
     # At most nine lengths, whatever the benchmark's size.
     short = sorted(r.n for r in sized.where(F.size("__item") < SPAN).select(F.size("__item").alias("n")).distinct().collect())
     for n in short:
         own = sized.where(F.size("__item") == n)
-        met.append(_met(_of_length(docs, "__key", tokens, n), _of_length(own, "item_id", F.col("__item"), n)))
+        met.append(_met(_of_length(docs, "__key", tokens, n), _of_length(own, "__item_key", F.col("__item"), n)))
     diagonals = met[0]
     for m in met[1:]:
         diagonals = diagonals.unionByName(m)
-    grouped = diagonals.distinct().groupBy("__key", "item_id").agg(F.collect_list("diagonal").alias("__diagonals"))
+    grouped = diagonals.distinct().groupBy("__key", "__item_key").agg(F.collect_list("diagonal").alias("__diagonals"))
     return written(grouped, "winnow-diagonals")
 
 
 def _met(left: DataFrame, right: DataFrame) -> DataFrame:
-    right = right.select("item_id", F.col("pos").alias("__q"), F.col("fp").alias("__fp"))
-    return left.join(right, F.col("fp") == F.col("__fp")).select("__key", "item_id", (F.col("pos") - F.col("__q")).alias("diagonal"))
+    right = right.select("__item_key", F.col("pos").alias("__q"), F.col("fp").alias("__fp"))
+    return left.join(right, F.col("fp") == F.col("__fp")).select("__key", "__item_key", (F.col("pos") - F.col("__q")).alias("diagonal"))
 
 
 def _runs(tokens: Column, item: Column, diagonal: Column) -> Column:
@@ -130,12 +130,12 @@ def _runs(tokens: Column, item: Column, diagonal: Column) -> Column:
 
 
 def contamination(docs: DataFrame, items: DataFrame, key: str) -> DataFrame:
-    """Per key with a hit: n_hit, n_items and the item ids (sorted strings).
+    """Per key with a hit: n_hit, the item ids (sorted strings) and whether an item without id is hit.
 
-    `docs` has `key` and __text; rows of one key are the same. `items` as in `hits`.
+    `docs` has `key` and __text; rows of one key are the same. `items` as in `hits`, with item_id.
     """
     docs = docs.withColumnRenamed(key, "__key")
-    found = hits(docs, items).join(items, "item_id")
+    found = hits(docs, items).join(items, "__item_key")
     spans = _bound(
         words(F.col("__text")),
         lambda tokens: F.flatten(F.transform("__diagonals", lambda d: _runs(tokens, F.col("__item"), d))),
@@ -158,13 +158,19 @@ def contamination(docs: DataFrame, items: DataFrame, key: str) -> DataFrame:
     )
     return (
         extended.groupBy("__key")
-        .agg(covered.alias("n_hit"), F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"))
+        .agg(
+            covered.alias("n_hit"),
+            F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"),
+            F.max(F.col("item_id").isNull().cast("int")).alias("nameless"),
+        )
         .withColumnRenamed("__key", key)
     )
 
 
 def _items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
-    return benchmark.select(F.col(item_id).alias("item_id"), words(F.col(text)).alias("__item")).dropDuplicates(["item_id", "__item"])
+    """item_id, __item (words) and a key of both, as ids can be null or have several texts."""
+    items = benchmark.select(F.col(item_id).alias("item_id"), words(F.col(text)).alias("__item")).dropDuplicates(["item_id", "__item"])
+    return items.withColumn("__item_key", F.xxhash64("item_id", F.col("item_id").isNull(), F.md5(F.array_join("__item", " "))))
 
 
 def _row_key(doc_id: str, text: str) -> Column:
@@ -179,7 +185,7 @@ def contaminated_rows(
     rows = docs.select(F.col(doc_id).alias("__doc"), _row_key(doc_id, text).alias("__k"), F.col(text).alias("__text"))
     found = contamination(rows.select("__k", "__text"), _items(benchmark, item_id, item_text), "__k")
     out = rows.select("__doc", "__k", F.size(words(F.col("__text"))).cast("long").alias("n_words")).join(found, "__k", "left")
-    n_items = F.coalesce(F.size("item_ids"), F.lit(0))
+    n_items = F.size("item_ids") + F.col("nameless")
     return out.select(
         F.col("__doc").alias("doc_id"),
         "n_words",
