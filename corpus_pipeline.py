@@ -18,8 +18,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five words, similarity 0.8."""
-    return minhash.one_of_each(docs, width=5, percent=80)
+    """One document of each group of near copies: five words, similarity 0.8. Texts that share an id are documents of their own."""
+    return minhash.one_of_each(docs, width=5, percent=80, one_per_id=False)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,6 +75,21 @@ def test_one_of_each_keeps_columns_and_ids(odd, empty):
     assert minhash.one_of_each(empty).isEmpty() and minhash.near_duplicates(empty).isEmpty()
 
 
+def test_one_of_each_by_id_and_text(spark):
+    import corpus_pipeline
+
+    texts = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abcdef"}
+    near = texts["a"].replace("a59", "changed")
+    rows = [(3, texts["a"]), (14, texts["b"]), (14, texts["c"]), (20, texts["d"]), (20, texts["a"]), (21, texts["e"]), (21, near)]
+    want = {(3, texts["a"]), (14, texts["b"]), (14, texts["c"]), (20, texts["d"]), (21, texts["e"])}
+    for more in ([], [(30, texts["f"])] * 2):  # an id that repeats changes nothing for the others
+        docs = spark.createDataFrame([*rows, *more], "doc_id long, text string")
+        out = corpus_pipeline.near_dedup(spark, docs, "")
+        assert Counter(map(tuple, out.collect())) == Counter({*want, *more})
+    ids = [tuple(r) for r in minhash.one_of_each(docs).collect()]
+    assert sorted(d for d, _ in ids) == [3, 14, 20, 21, 30] and {(20, texts["d"]), (21, texts["e"])} <= set(ids)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(200, 201)]
     got = dict(components.components(spark.createDataFrame(chain, "a long, b long")).collect())

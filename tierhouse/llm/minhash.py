@@ -253,15 +253,25 @@ def near_duplicates(
     )
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+def one_of_each(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, one_per_id: bool = True
+) -> DataFrame:
     """The rows that stay, with all their columns: of each component the document of smallest id, once.
 
+    A document here is an id and a text, so rows that share an id with other
+    texts are judged by their own; only rows that agree in both are one. With
+    `one_per_id` one document of each id stays in the end, the same in each run.
     Rows without an id are kept: nothing can be said to be their copy's name.
     """
-    decided = written(near_duplicates(docs, doc_id, text, width, percent), "minhash-decided")
+    # Of one id's texts a hash is enough to tell them apart.
+    own = F.when(F.col(doc_id).isNotNull(), F.struct(F.col(doc_id).alias("id"), F.xxhash64(F.md5(F.col(text)), F.col(text).isNull()).alias("hash")))
+    keyed = docs.select(own.alias("__own"), F.col(text).alias("__text"))
+    decided = written(near_duplicates(keyed, "__own", "__text", width, percent), "minhash-decided")
     stay = decided.where("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__stay")).agg(F.count(F.lit(1)).alias("__times"))
+    if one_per_id:
+        stay = stay.groupBy("__stay.id").agg(F.min_by(F.struct("__stay", "__times"), "__stay").alias("s")).select("s.*")
     stay = written(stay, "minhash-stay")
-    out = docs.join(stay, F.col(doc_id) == F.col("__stay"))
-    if not stay.where("__times > 1").isEmpty():  # rows that repeat an id
-        out = out.dropDuplicates([doc_id])
+    out = docs.withColumn("__own", own).join(stay, F.col("__own") == F.col("__stay"))
+    if not stay.where("__times > 1").isEmpty():  # rows that repeat an id and its text
+        out = out.dropDuplicates(["__own"])
     return out.select(*docs.columns).unionByName(docs.where(F.col(doc_id).isNull()))
