@@ -192,7 +192,10 @@ def quality_scores(
     sample: int = 8000,
     cutoff: float = 0.5,
 ) -> DataFrame:
-    """Per row: the classifier's, the site's and the combined probabilities, and `kept`."""
+    """Per row: the classifier's, the site's and the combined probabilities, and `kept`.
+
+    The given table has no url: by default its source stands for the host and its lang for the path.
+    """
     heads = train(docs, labels, doc_id, text, sample)
     rows = written(scored(docs, heads, text, [doc_id, host, path]), "quality-scores")
     rows = with_sites(rows, host, path).withColumns({f"__{h}_all": combined(h) for h in HEADS})
