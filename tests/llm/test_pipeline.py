@@ -12,7 +12,7 @@ from tierhouse.llm import queries
 
 def test_every_number_is_registered_once():
     numbers = Counter(name.split("_")[0] for name in queries.queries())
-    assert numbers == {f"op{n}": 1 for n in range(1, 11)}
+    assert numbers == {f"op{n}": 1 for n in range(1, 14)}
     assert {*queries.queries(), "pipeline"} <= set(entry.queries())
 
 
@@ -30,9 +30,9 @@ def test_stages_and_run(spark, table):
     assert {r.doc_id for r in out.collect()} <= {r.doc_id for r in docs.collect()}
 
 
-def test_decontamination_agrees_with_sql(spark):
+def test_queries_agree_with_sql(spark):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     for name, sql in queries.oracle_sql().items():
         got = queries.queries()[name](spark, SMALL)
