@@ -208,11 +208,11 @@ def visits(values: np.ndarray, borders: np.ndarray, budget: int) -> tuple[np.nda
                 children.append((x[live], y[live], under[live], count[live]))
         low, high, prefix, differ = (np.concatenate(x) for x in zip(*children))
     block, place = np.concatenate(blocks), np.concatenate(places)
-    pairs = np.unique(np.stack([block, place]), axis=1)  # a block may be several nodes
-    own = block_of(borders, values)[pairs[1]]
+    block, place = np.divmod(np.unique(block * len(values) + place), len(values))  # a block may be several nodes
+    own = block_of(borders, values)[place]
     # Of two blocks one is visited: the higher if their sum is even, else the lower.
-    goes = (pairs[0] != own) & ((pairs[0] > own) == ((pairs[0] + own) % 2 == 0))
-    return pairs[0][goes], pairs[1][goes]
+    goes = (block != own) & ((block > own) == ((block + own) % 2 == 0))
+    return block[goes], place[goes]
 
 
 def _borders(fps: DataFrame, block: int) -> np.ndarray:
