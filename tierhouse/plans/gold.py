@@ -12,8 +12,10 @@ from tierhouse.functions import dates, rules
 from tierhouse.operators.history import current_rows
 from tierhouse.operators.joins import lookup
 from tierhouse.operators.keys import continue_keys, surrogate_key
+from tierhouse.operators.skew import same_keys
 from tierhouse.plans.audit import Audit, Step, logged, run_independent, run_step
 from tierhouse.schemas import GOLD, MONTH, SILVER
+from tierhouse.scratch import written
 from tierhouse.sources.warehouse import Warehouse
 
 # The leading columns give the documented key order, the others only break ties.
@@ -28,12 +30,15 @@ class GoldOptions:
     `mode`: full (reload tables), create (create table as), append (today's
     silver rows). `fact_window`: month (of `as_of`), all, loaded_today.
     `dedupe_existing` keeps an append from adding business keys again; the
-    default appends whatever was stamped today, as often as it is run.
+    default appends whatever was stamped today, as often as it is run. With
+    `run_id` an append that is repeated, say after a failure, replaces what the
+    run has added before.
     """
 
     mode: str = "full"
     fact_window: str = "month"
     dedupe_existing: bool = False
+    run_id: str | None = None
 
 
 FULL = GoldOptions()
@@ -112,6 +117,21 @@ def loaded_on(df: DataFrame, as_of: dt.date | str) -> DataFrame:
     return df.where(dates.on_day("dwh_create_date", as_of))
 
 
+def missing_lines(lines: DataFrame, fact: DataFrame) -> DataFrame:
+    """Of `lines`, as many of each as `fact` lacks; lines have no number of their own.
+
+    Only months (partitions of the fact) and orders that `lines` touches are read
+    and compared. The months collected are bounded by the calendar.
+    """
+    months = [r[0] for r in lines.select(F.trunc("order_date", "MM")).distinct().collect()]
+    touched = F.col(MONTH).isin([m for m in months if m is not None])
+    if None in months:
+        touched = touched | F.col(MONTH).isNull()
+    orders = lines.select("order_number").distinct()
+    known = fact.where(touched).select(*lines.columns)
+    return lines.exceptAll(known.join(orders, same_keys(known, orders, ["order_number"]), "left_semi"))
+
+
 def load(
     warehouse: Warehouse,
     run_ts: dt.datetime,
@@ -124,7 +144,8 @@ def load(
     as_of = as_of or run_ts.date()
     silver = {name: warehouse.read(table) for name, table in SILVER.items()}
     adding = options.mode == "append"
-    write = {"full": warehouse.overwrite, "create": warehouse.create_as, "append": warehouse.append}[options.mode]
+    add = lambda *args: warehouse.append(*args, options.run_id)
+    write = {"full": warehouse.overwrite, "create": warehouse.create_as, "append": add}[options.mode]
     if options.mode != "create":
         warehouse.create(*GOLD.values())
 
@@ -135,7 +156,7 @@ def load(
             rows = build()
             if adding:
                 known = [business_key] if options.dedupe_existing else None
-                keyed = continue_keys(rows, warehouse.read(table), order, key, known)
+                keyed = continue_keys(rows, warehouse.read(table, besides=options.run_id), order, key, known)
             else:
                 keyed = surrogate_key(rows, order, key)
             return write(table, keyed, run_ts)
@@ -143,7 +164,7 @@ def load(
         return Step(f"LOAD_{name.upper()}", work, warehouse.name(table))
 
     def scoped(name: str) -> DataFrame:
-        return loaded_on(silver[name], as_of) if adding else silver[name]
+        return warehouse.read_day(SILVER[name], as_of) if adding else silver[name]
 
     dims = [
         dimension(
@@ -162,11 +183,14 @@ def load(
         ),
     ]
     def fact() -> int:
-        lines = fact_slice(silver["crm_sales_details"], options.fact_window, as_of)
+        if options.fact_window == "loaded_today":
+            lines = warehouse.read_day(SILVER["crm_sales_details"], as_of)
+        else:
+            lines = fact_slice(silver["crm_sales_details"], options.fact_window, as_of)
         built = fact_sales(lines, warehouse.read(GOLD["dim_products"]), warehouse.read(GOLD["dim_customers"]))
         if adding and options.dedupe_existing:
-            # Lines have no number of their own: as many of each are added as are missing.
-            built = built.exceptAll(warehouse.read(GOLD["fact_sales"]).select(*built.columns))
+            # Looked at for months, for orders and for the lines themselves: as large as the batch.
+            built = missing_lines(written(built, "batch-lines"), warehouse.read(GOLD["fact_sales"], besides=options.run_id))
         return write(GOLD["fact_sales"], built, run_ts)
 
     with logged(warehouse, "gold.load", audit) as log:

@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 RUN_TS = "run_ts"  # default: the run's timestamp
 UUID = "uuid"  # default: a new identifier per row
 MONTH = "order_month"  # the partitions of sales tables
+LOAD_RUN = "load_run"  # first partition of every table: the load that wrote the rows
+LOAD_DAY = "load_day"  # last partition of tables that are read by the day they were loaded
 
 # Column type names of external schema files.
 TYPE_NAMES = {
@@ -35,7 +37,9 @@ class Table:
     """A declared table; `defaults` maps a column to RUN_TS, UUID or a literal.
 
     `month_of` maps a column to the date whose month it is; `cluster_by` orders
-    the rows inside the files of a partitioned table.
+    the rows inside the files of a partitioned table. `load_day` names the stamp
+    whose day is a further partition, so that a day's rows are found without
+    reading the others.
     """
 
     layer: str
@@ -46,6 +50,12 @@ class Table:
     partition_by: tuple[str, ...] = ()
     cluster_by: tuple[str, ...] = ()
     month_of: Mapping[str, str] = field(default_factory=dict)
+    load_day: str | None = None
+
+    @property
+    def partitions(self) -> tuple[str, ...]:
+        """Partition columns of a load's folder, outermost first."""
+        return (*self.partition_by, *((LOAD_DAY,) if self.load_day else ()))
 
     @property
     def schema(self) -> T.StructType:
@@ -56,7 +66,8 @@ class Table:
         return self.schema.fieldNames()
 
 
-_STAMP = {"dwh_create_date": RUN_TS}
+_STAMPED = "dwh_create_date"
+_STAMP = {_STAMPED: RUN_TS}
 _CUSTOMER = (
     "cst_id bigint, cst_key string, cst_firstname string, cst_lastname string, "
     "cst_marital_status string, cst_gndr string, cst_create_date date"
@@ -89,13 +100,14 @@ BRONZE = {
 SILVER = {
     t.name: t
     for t in (
-        Table("silver", "crm_cust_info", f"{_CUSTOMER}, dwh_create_date timestamp", _STAMP),
+        Table("silver", "crm_cust_info", f"{_CUSTOMER}, dwh_create_date timestamp", _STAMP, load_day=_STAMPED),
         Table(
             "silver",
             "crm_prd_info",
             "prd_id bigint, cat_id string, prd_key string, prd_nm string, prd_cost bigint, prd_line string, "
             "prd_start_dt date, prd_end_dt date, dwh_create_date timestamp",
             _STAMP,
+            load_day=_STAMPED,
         ),
         Table(
             "silver",
@@ -106,6 +118,7 @@ SILVER = {
             partition_by=(MONTH,),
             cluster_by=("sls_cust_id", "sls_prd_key"),
             month_of={MONTH: "sls_order_dt"},
+            load_day=_STAMPED,
         ),
         Table("silver", "erp_loc_a101", "cid string, cntry string, dwh_create_date timestamp", _STAMP),
         Table("silver", "erp_cust_az12", "cid string, bdate date, gen string, dwh_create_date timestamp", _STAMP),
