@@ -116,13 +116,17 @@ def test_exact_amount_keeps_nine_decimals(spark):
 
 
 def test_exact_amount_over_the_whole_range(spark):
-    cases = [(10_000_000_000, "1.5"), (9_223_372_036_854_775_807, "123456789.123456789"), (-3, "1234567890123456789.000000001"), (0, "5")]
+    cases = [(1, "1E19"), (10**9, "1E15"), (10**18, "1E9"), (-1, "99999999999999999999999999999.999999999"), (3, "-0.000000001")]
+    cases += [(-(2**63), "3.999999999"), (2**63 - 1, "-0.000000009"), (10**10, "9999999999999999999.123456789"), (None, "1"), (10_000_000_000, "1.5"), (9_223_372_036_854_775_807, "123456789.123456789"), (-3, "1234567890123456789.000000001"), (0, "5")]
     df = spark.createDataFrame([(q, Decimal(p)) for q, p in cases], "q bigint, p decimal(38,9)")
     import decimal
 
     with decimal.localcontext() as wide:
         wide.prec = 60
-        assert [r[0] for r in df.select(numbers.exact_amount("q", "p")).collect()] == [q * Decimal(p) for q, p in cases]
+        assert [r[0] for r in df.select(numbers.exact_amount("q", "p")).collect()] == [None if q is None else q * Decimal(p) for q, p in cases]
+    beyond = spark.createDataFrame([(10**10, Decimal("1E19"))], "q bigint, p decimal(38,9)")
+    with pytest.raises(Exception):
+        beyond.select(numbers.exact_amount("q", "p")).collect()
 
 
 def test_weighted_score_of_wide_values(spark):

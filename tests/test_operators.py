@@ -120,6 +120,24 @@ def test_long_ranges_come_in_chunks(spark):
     assert down[0:3] == (len(want), min(want), max(want))
 
 
+def test_ranges_of_any_length_and_step(spark):
+    one, top = spark.range(1), 9_223_372_036_854_775_807
+    series = lambda a, b, s: loops.explode_range(one, F.lit(a), F.lit(b), s, "i")
+    assert [r.i for r in series(-top, top, 10**18).collect()] == list(range(-top, top + 1, 10**18))
+    assert [r.i for r in series(0, 10**15, 10**14).collect()] == list(range(0, 10**15 + 1, 10**14))
+    endless = series(0, 10**15, 1)
+    assert [0 <= r.i <= 10**15 for r in endless.limit(5).collect()] == [True] * 5  # made as asked for
+    several = spark.createDataFrame([(1, 0, 300_000, 3), (2, 5, 9, 1), (3, 9, 5, 1), (4, 70_000, -70_000, -2), (5, None, 3, 1)], "k long, a long, b long, s long")
+    got = loops.explode_range(several, F.col("a"), F.col("b"), F.col("s"), "i").groupBy("k").agg(F.count("*"), F.min("i"), F.max("i"), F.sum("i"))
+    want = {k: range(a, b + (1 if s > 0 else -1), s) for k, a, b, s in ((1, 0, 300_000, 3), (2, 5, 9, 1), (4, 70_000, -70_000, -2))}
+    assert {r[0]: tuple(r)[1:] for r in got.collect()} == {k: (len(w), min(w), max(w), sum(w)) for k, w in want.items()}
+
+
+def test_short_ranges_are_not_shuffled(spark):
+    plan = loops.explode_range(spark.range(10), F.lit(1), F.col("id"), 1, "i")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 def test_running_total_counts_to_fifteen(spark):
     df = spark.range(1, 6).withColumn("k", F.lit("a"))
     got = running_total(df, ["k"], [F.col("id")], F.col("id"), "s")

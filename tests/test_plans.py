@@ -1,6 +1,7 @@
 """Layer builds and jobs on small landing files with every kind of dirt."""
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -10,7 +11,7 @@ from tests.conftest import rows
 from tierhouse.plans import bronze, gold, shop, silver
 from tierhouse.plans.audit import Audit, Step, load_summary, run_independent, run_step
 from tierhouse.plans.run_all import run_all
-from tierhouse.schemas import BRONZE, GOLD, LOAD_LOGS, SHOP_BRONZE, SHOP_SILVER, SILVER, STUDENTS, Table, schema_from_file_text
+from tierhouse.schemas import BRONZE, GOLD, LOAD_DAY, LOAD_LOGS, SHOP_BRONZE, SHOP_SILVER, SILVER, STUDENTS, Table, schema_from_file_text
 from tierhouse.scratch import written
 from tierhouse.sources.csv import read_csv
 from tierhouse.sources.warehouse import Warehouse, write_by_month
@@ -433,6 +434,52 @@ def test_append_of_a_day_keeps_equal_lines(loaded):
         assert (fact.count(), fact.where("order_number = 'SO5'").count()) == (9, 2)
 
 
+def test_an_append_reads_its_day_its_months_and_nothing_else(loaded):
+    gold.load(loaded, RUN_TS, AS_OF, gold.CREATE)
+    scan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for table in (SILVER["crm_sales_details"], SILVER["crm_cust_info"], SILVER["crm_prd_info"]):
+        today = loaded.read_day(table, AS_OF)
+        assert f"({LOAD_DAY}#" in scan(today).split("PartitionFilters: ")[1].split("PushedFilters")[0] and today.columns == table.columns
+        assert today.count() == loaded.read(table).count() and loaded.read_day(table, D(2014, 2, 1)).isEmpty()
+    fact = loaded.read(GOLD["fact_sales"])
+    columns = [c for c in fact.columns if c != "order_month"]
+    lines = written(fact.where("order_number IN ('SO1', 'SO3', 'SO4')").select(columns), "lines")
+    again = gold.missing_lines(lines.unionAll(lines.where("order_number = 'SO1'")), fact)
+    months = next(f for f in re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", scan(again)) if "order_month" in f)
+    assert "2013-12-01" in months and "2014-01-01" in months and "2014-02-01" not in months
+    assert [r.order_number for r in again.collect()] == ["SO1"]  # one more of it than the fact has
+
+
+def test_a_repeated_append_replaces_its_own_rows(loaded):
+    df = _students(loaded, 5)
+    loaded.overwrite(STUDENTS, df, RUN_TS)
+    for n in (3, 3, 2):
+        loaded.append(STUDENTS, df.limit(n), RUN_TS, run_id="007")
+        assert loaded.read(STUDENTS).count() == 5 + n
+    loaded.append(STUDENTS, df, RUN_TS, run_id="7")
+    assert loaded.read(STUDENTS).count() == 12 and loaded.read(STUDENTS, besides="007").count() == 10
+    gold.load(loaded, RUN_TS, D(2001, 1, 1), gold.CREATE)
+    again = gold.GoldOptions("append", "loaded_today", run_id="retry")
+    seen = set()
+    for _ in range(2):  # the same keys and lines, once
+        gold.load(loaded, RUN_TS, AS_OF, again)
+        dims = rows(loaded.read(GOLD["dim_customers"]).select("customer_key", "customer_id"))
+        seen.add((tuple(dims), loaded.read(GOLD["fact_sales"]).count()))
+    assert len(seen) == 1 and [k for k, _ in dims] == [1, 2, 3, 4, 5, 6]
+
+
+def test_a_reader_outlives_one_reload(warehouse):
+    df = _students(warehouse, 100)
+    warehouse.overwrite(STUDENTS, df, RUN_TS)
+    opened = warehouse.read(STUDENTS)
+    assert opened.agg(F.max("student_id")).first()[0] == 99  # planned, its files known
+    warehouse.overwrite(STUDENTS, df.limit(10), RUN_TS)
+    assert opened.count() == 100 and warehouse.read(STUDENTS).count() == 10
+    warehouse.overwrite(STUDENTS, df.limit(5), RUN_TS)
+    path, system = warehouse._folder(warehouse._versions(STUDENTS))
+    assert len(system.listStatus(path)) == 2  # this version and the last
+
+
 def test_a_layer_called_alone_keeps_its_log(warehouse, landing, tmp_path):
     audit = bronze.load(warehouse, landing)
     assert warehouse.read(LOAD_LOGS).where(F.col("run_id") == audit.run_id).count() == 6

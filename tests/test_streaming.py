@@ -76,9 +76,9 @@ def test_changes_follow_the_files(spark, tmp_path):
         (6, 3, "DELETE_STUDENT", 30, None, stamp),
         (7, 9, "DELETE_STUDENT", None, None, stamp),
     ]
-    compacted = ChangeTable(f"file://{tmp_path}/compacted", table.schema, SPEC)
-    table.compact(spark, compacted)
-    assert state(compacted, spark) == state(table, spark)
+    other = ChangeTable(f"file://{tmp_path}/rebucketed", table.schema, SPEC, buckets=3)
+    table.rebucket(spark, other)
+    assert state(other, spark) == state(table, spark)
 
 
 def test_repeating_a_batch_changes_nothing(spark, tmp_path):
@@ -97,10 +97,39 @@ def test_repeating_a_batch_changes_nothing(spark, tmp_path):
 def test_a_batch_reads_only_its_buckets(spark, tmp_path):
     table = make_table(spark, tmp_path)
     keys = spark.createDataFrame([(1,)], "id long")
-    touched = table._touched(keys, 0)
-    assert [r.id for r in touched.collect()] == [1]
+    numbers, touched = table.touched(keys)
+    assert len(numbers) == 1 and [r.id for r in touched.join(keys, "id").collect()] == [1]
     scan = touched._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(version" in scan and "bucket" in scan.split("PartitionFilters")[1]
+    assert "(bucket#" in scan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+
+
+def test_a_batch_that_fails_half_way_is_repeated(spark, tmp_path, monkeypatch):
+    """The state is written, its empty bucket not yet dropped: the same batch again gives the same state and log."""
+    from dataclasses import replace
+
+    from tierhouse.streaming import changes
+
+    whole = replace(make_table(spark, tmp_path / "whole"), buckets=3)
+    broken = replace(make_table(spark, tmp_path / "broken"), buckets=3)
+    for table in (whole, broken):
+        table.create(spark.createDataFrame([(1, "a", 10, None), (2, "b", 20, None)], table.schema))
+    rows_of = [(1, None, None, "delete", 1), (2, "z", 7, "upsert", 2), (2, None, None, "delete", 3), (5, "e", 50, "upsert", 4)]
+    feed = spark.createDataFrame(rows_of, FEED)
+    whole.apply(feed, 0, RUN_TS)
+    for step in ("_write", "drop"):
+        with monkeypatch.context() as patch:
+            def fail(*args):
+                raise OSError("lost")
+
+            if step == "_write":
+                patch.setattr(changes.ChangeTable, "_write", fail)
+            else:
+                patch.setattr(changes, "drop_path", fail)
+            with pytest.raises(OSError):
+                broken.apply(feed, 0, RUN_TS)
+    broken.apply(feed, 0, "2027-01-01 00:00:00")
+    assert state(broken, spark) == state(whole, spark) == [(5, "e", 50)]
+    assert rows(broken.log(spark).drop("changed_at")) == rows(whole.log(spark).drop("changed_at"))
 
 
 def test_many_batches_leave_few_folders_and_no_scratch(spark, tmp_path):
@@ -108,16 +137,39 @@ def test_many_batches_leave_few_folders_and_no_scratch(spark, tmp_path):
 
     from tierhouse import scratch
 
-    table = replace(make_table(spark, tmp_path), max_versions=5, buckets=2)
+    table = replace(make_table(spark, tmp_path), buckets=2, path=f"file://{tmp_path}/other")
+    table.create(spark.createDataFrame([(1, "a", 10, None), (2, "b", 20, None)], table.schema))
     want = {1: 10, 2: 20}
-    for batch in range(14):
+    for batch in range(10):
         key = batch % 4 + 1
         op = "delete" if batch % 3 == 2 else "upsert"
         table.apply(spark.createDataFrame([(key, "n", batch, op, batch)], FEED), batch, RUN_TS)
         want = {k: v for k, v in want.items() if k != key} | ({key: batch} if op == "upsert" else {})
-        assert len(table._versions(spark)) <= 6
+        assert len(scratch.listed(spark, table.before_path)) <= 2 and len(scratch.listed(spark, table.state_path)) <= 2
     assert {r.id: r.score for r in table.current(spark).collect()} == want
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch._application_folder(spark))
     system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     left = [f.getPath().getName() for f in system.listStatus(path)] if system.exists(path) else []
-    assert not [n for n in left if n.startswith(("load-", "before-batch"))]
+    assert not [n for n in left if n.startswith("load-")]
+
+
+def test_bad_lines_go_to_the_rejects(spark, tmp_path):
+    landing, done = tmp_path / "landing", tmp_path / "done"
+    landing.mkdir()
+    out, rejects, checkpoint = (f"file://{tmp_path}/{n}" for n in ("out", "rejects", "checkpoint"))
+    run = lambda: ingest_new_files(
+        spark, f"file://{landing}", spark.createDataFrame([], "k long, v string").schema, out, checkpoint, rejects=rejects, archive=f"file://{done}"
+    )
+    (landing / "1.csv").write_text("k,v\n1,a\nnot a number,b\n2,c,too many\n3,\n")
+    run()
+    (landing / "2.csv").write_text("k,v\n4,d\n")
+    run()
+    run()
+    good = spark.read.parquet(out).drop("batch")
+    assert rows(good) == [(1, "a", "1.csv"), (3, None, "1.csv"), (4, "d", "2.csv")]
+    bad = spark.read.parquet(rejects).drop("batch")
+    assert rows(bad) == [("2,c,too many", "1.csv"), ("not a number,b", "1.csv")]
+    (landing / "3.csv").write_text("k,v\n5,e\n")
+    run()
+    assert spark.read.parquet(out).count() == 4
+    assert {p.name for p in done.rglob("*.csv")} >= {"1.csv"}  # moved once a later batch has begun

@@ -58,19 +58,26 @@ def repair_price(sales: Column | str, quantity: Column | str, price: Column | st
 
 
 def exact_amount(quantity: Column | str, unit_price: Column | str) -> Column:
-    """quantity * unit_price without loss of scale.
+    """quantity * unit_price without loss of scale; fails only if the product itself is beyond decimal(38,9).
 
-    bigint * decimal(38,9) would be rounded to six decimals. Operands of a and
-    28 - a whole digits multiply to exactly decimal(38,9), so the digits of the
-    quantity choose a; a product of more than 28 whole digits fails.
+    bigint * decimal(38,9) would be rounded to six decimals. Operands of up to 9
+    and 19 whole digits multiply to exactly decimal(38,9). Larger ones are
+    multiplied by limbs: the whole units and the billionths of the price apart,
+    each as a whole number, with a carry from the second to the first. Whether
+    the product fits is checked once, when its digits become a decimal again.
     """
     q, p = _col(quantity), _col(unit_price).cast(NUMERIC)
-    size = F.abs(q.cast("decimal(20,0)"))
-    out = F
-    for digits in (9, 14, 19):
-        product = q.cast(f"decimal({digits},0)") * p.cast(f"decimal({37 - digits},9)")
-        out = out.when(size < F.lit(str(10**digits)).cast("decimal(20,0)"), product)
-    return out
+    small = (F.abs(q.cast("decimal(20,0)")) < F.lit("1000000000").cast("decimal(20,0)")) & (
+        F.abs(p) < F.lit("1e19").cast(NUMERIC)
+    )
+    count, price, unit = F.abs(q.cast("decimal(19,0)")), F.abs(p), F.lit("1000000000").cast("decimal(10,0)")
+    whole = count * F.floor(price).cast("decimal(29,0)")
+    billionths = count * ((price % F.lit(1).cast("decimal(1,0)")) * unit).cast("decimal(9,0)")
+    units = whole + F.call_function("div", billionths, unit).cast("decimal(19,0)")
+    rest = F.lpad((billionths % unit).cast("decimal(9,0)").cast("string"), 9, "0")
+    sign = F.when((q < 0) != (p < 0), "-").otherwise("")
+    by_limbs = F.concat(sign, units.cast("string"), F.lit("."), rest).cast(NUMERIC)
+    return F.when(small, q.cast("decimal(9,0)") * p.cast("decimal(28,9)")).otherwise(by_limbs)
 
 
 def divide_or(numerator: Column | str, denominator: Column | str, fallback: float = 0.0) -> Column:

@@ -41,6 +41,26 @@ def stream_file_ingest(src):
     return src.spark.read.schema(schema).parquet(out)
 
 
+@query(
+    "stream_file_rejects",
+    """SELECT 'good' AS kind, event_id, event_type, CAST(NULL AS VARCHAR) AS bad_line FROM events WHERE user_id % 10 <> 3
+UNION ALL SELECT 'bad', NULL, NULL, 'E' || event_id || ',' || event_type FROM events WHERE user_id % 10 = 3""",
+)
+def stream_file_rejects(src):
+    """Events as lines of which a tenth have no number: these are set aside, the others loaded."""
+    landing, out, rejects, checkpoint = (scratch_path(src.spark, n) for n in ("landing", "bronze", "rejects", "stream"))
+    events, bad = src.events, F.col("user_id") % 10 == 3
+    for part in (F.col("event_type") == "view", F.col("event_type") != "view"):
+        lines = events.where(part).select(F.when(bad, F.concat(F.lit("E"), "event_id")).otherwise(F.col("event_id").cast("string")).alias("event_id"), "event_type")
+        write_csv(lines, landing, "append")
+        schema = events.select("event_id", "event_type").schema
+        ingest_new_files(src.spark, landing, schema, out, checkpoint, rejects=rejects, archive=f"{landing}-done")
+    good = src.spark.read.parquet(out).select(F.lit("good").alias("kind"), "event_id", "event_type", F.lit(None).cast("string").alias("bad_line"))
+    lines = src.spark.read.parquet(rejects)
+    none = [F.lit(None).cast(events.schema[c].dataType).alias(c) for c in ("event_id", "event_type")]
+    return good.unionByName(lines.select(F.lit("bad").alias("kind"), *none, "bad_line"))
+
+
 # The same order feed in two arrivals: low-priority orders come a day late.
 _LATE = "segment = '5-LOW'"
 _TWO_WAVES = f"""old_rows AS ({plain(OLD)}), feed AS (

@@ -13,7 +13,7 @@ from tierhouse.functions.dates import seconds_between
 from tierhouse.operators.keys import continue_keys
 from tierhouse.operators.validation import guard_not_null
 from tierhouse.plans import bronze, gold, silver
-from tierhouse.plans.audit import FAILED, INFO, SUCCESS, Audit, load_summary, logged
+from tierhouse.plans.audit import FAILED, INFO, SUCCESS, Audit, Step, load_summary, logged, run_independent
 from tierhouse.queries import layers
 from tierhouse.queries.registry import query
 from tierhouse.schemas import LOAD_LOGS, SILVER, Table
@@ -177,12 +177,13 @@ def gold_append_fact(src):
         "erp_loc_a101": silver.locations(src.sql(layers.ERP_LOCATION)),
         "erp_px_cat_g1v2": silver.categories(src.sql(layers.ERP_CATEGORY)),
     }
-    for name, rows in builds.items():
-        warehouse.overwrite(SILVER[name], rows, yesterday)
     lines, sales = silver.sales(src.sql(layers.CRM_SALES)), SILVER["crm_sales_details"]
     late = F.pmod(F.xxhash64("sls_ord_num"), F.lit(3)) == 0
-    warehouse.overwrite(sales, lines.where(~late), yesterday)
+    builds["crm_sales_details"] = lines.where(~late)
+    warehouse.create(*SILVER.values())
+    load = lambda name: lambda: warehouse.overwrite(SILVER[name], builds[name], yesterday)
+    run_independent(Audit("silver.load"), [Step(name, load(name)) for name in builds], at_once=len(builds))
     gold.load(warehouse, yesterday, yesterday.date(), gold.CREATE)
     warehouse.append(sales, lines.where(late), TODAY)
-    gold.load(warehouse, TODAY, TODAY.date(), gold.GoldOptions("append", "loaded_today", dedupe_existing=True))
+    gold.load(warehouse, TODAY, TODAY.date(), gold.GoldOptions("append", "loaded_today", dedupe_existing=True, run_id="rest"))
     return warehouse.read(gold.GOLD["fact_sales"]).drop(gold.MONTH)

@@ -71,6 +71,15 @@ def drop_path(spark: SparkSession, folder: str) -> bool:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def listed(spark: SparkSession, folder: str) -> list[tuple[str, bool]]:
+    """Names of the folders inside one, and whether each was written to its end."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    child = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    found = system.listStatus(path) if system.exists(path) else ()
+    return [(f.getPath().getName(), system.exists(child(f.getPath(), "_SUCCESS"))) for f in found if f.isDirectory()]
+
+
 def drop_scratch(spark: SparkSession) -> bool:
     """Delete this application's intermediate tables, once no DataFrame still reads them."""
     return drop_path(spark, _application_folder(spark))

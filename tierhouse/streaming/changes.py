@@ -1,32 +1,29 @@
 """A change feed applied batch by batch, with its log.
 
-State is kept as appended row versions in hash buckets of the key: a batch reads
-only the buckets its keys fall into and writes only its keys, never the whole
-table. Before a batch that finds `max_versions` versions, the newest rows of all
-are written as one version and the older ones deleted, so neither the folders to
-list nor the rows per key grow with the number of batches.
+The state is one Parquet table, partitioned by a hash bucket of the key. A batch
+reads the buckets its keys fall into and writes them anew by Spark's dynamic
+partition overwrite; all others stay as they are. The rows that a batch changes
+are kept as they were before it until the next batch, so a batch that is
+repeated after a failure gives the same state and the same log.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tierhouse.operators.changes import ChangeSpec, apply_feed, feed_log
-from tierhouse.operators.dedupe import keep_latest
 from tierhouse.operators.skew import HOT_ROWS
-from tierhouse.scratch import drop_path, scratch_scope, written
+from tierhouse.scratch import drop_path, listed, scratch_scope
 from tierhouse.sources.warehouse import timestamp_lit
 from tierhouse.streaming.files import landing_stream
 
-VERSION = "version"
 BUCKET = "bucket"
-GONE = "_gone"
-BASE_VERSION = -2  # batch n writes version 2n; 2n - 1 is what there was before it, in one version
+BATCH = "batch"
 BUCKET_BYTES = 256 * 1024 * 1024
 
 
@@ -37,10 +34,10 @@ def buckets_for(state_bytes: int) -> int:
 
 @dataclass(frozen=True)
 class ChangeTable:
-    """A keyed table and its log as versioned parquet folders below `path`.
+    """A keyed table and its log as parquet folders below `path`; rows without a key are logged, not kept.
 
     `buckets` (see buckets_for) cannot change once the table exists: take more
-    for a larger state (compact() into another table re-buckets it).
+    for a larger state (rebucket() writes the table anew elsewhere).
     """
 
     path: str
@@ -48,7 +45,6 @@ class ChangeTable:
     spec: ChangeSpec
     hot_rows: int = HOT_ROWS
     buckets: int = 16
-    max_versions: int = 24
 
     @property
     def state_path(self) -> str:
@@ -58,83 +54,65 @@ class ChangeTable:
     def log_path(self) -> str:
         return f"{self.path}/log"
 
+    @property
+    def before_path(self) -> str:
+        return f"{self.path}/before"
+
     def create(self, base: DataFrame) -> None:
-        """Start from a snapshot (one row per key)."""
-        self._write_state(base.withColumn(GONE, F.lit(False)), BASE_VERSION)
+        """Start from a snapshot (one row per key); what was there before goes."""
+        self._write(base.where(F.col(self.spec.key).isNotNull()), "static")
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(self.spec.key), F.lit(self.buckets)).cast("int")
 
-    def _write_state(self, rows: DataFrame, version: int) -> None:
+    def _write(self, rows: DataFrame, replace: str = "dynamic") -> set[int]:
+        """Replace the buckets of `rows`; returns which (at most `buckets` numbers)."""
+        seen = Observation()
         # Rebalanced, so that a bucket is few files but a large one is still split.
-        laid_out = rows.withColumn(BUCKET, self._bucket()).hint("rebalance", BUCKET)
-        laid_out.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.state_path}/{VERSION}={version}")
+        laid_out = rows.withColumn(BUCKET, self._bucket()).hint("rebalance", BUCKET).observe(seen, F.collect_set(BUCKET).alias("buckets"))
+        writer = laid_out.write.mode("overwrite").option("partitionOverwriteMode", replace)
+        writer.partitionBy(BUCKET).parquet(self.state_path)
+        return set(seen.get["buckets"])
 
     def _state(self, spark: SparkSession) -> DataFrame:
-        added = "_gone boolean, version bigint, bucket int"
-        full = T.StructType([*self.schema.fields, *T.StructType.fromDDL(added).fields])
-        return spark.read.schema(full).parquet(self.state_path)
-
-    def _touched(self, keys: DataFrame, batch_id: int) -> DataFrame:
-        """State rows of `keys` before a batch; both filters prune folders.
-
-        Versions from `batch_id` on (of a batch that is being repeated) are left out.
-        """
-        # At most one number per bucket reaches the driver.
-        buckets = [r[0] for r in keys.select(self._bucket()).distinct().collect()]
-        rows = self._state(keys.sparkSession).where((F.col(VERSION) < 2 * batch_id) & F.col(BUCKET).isin(buckets))
-        return rows.join(keys, self.spec.key, "left_semi")
-
-    def _newest(self, rows: DataFrame) -> DataFrame:
-        newest = keep_latest(rows, [self.spec.key], [VERSION], tie_break=[])
-        return newest.where(~F.col(GONE)).select(*self.schema.fieldNames())
-
-    def _versions(self, spark: SparkSession) -> list[int]:
-        """At most a few more than max_versions."""
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.state_path)
-        found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
-        return sorted(int(n.split("=")[1]) for f in found if (n := f.getPath().getName()).startswith(f"{VERSION}="))
-
-    def _gather(self, spark: SparkSession, batch_id: int) -> None:
-        """All versions before the batch as one. A crash on the way leaves rows twice, and the newest counts."""
-        old = [v for v in self._versions(spark) if v < 2 * batch_id]
-        if len(old) < self.max_versions:
-            return
-        rows = self._state(spark).where(F.col(VERSION) < 2 * batch_id)
-        newest = keep_latest(rows, [self.spec.key], [VERSION], tie_break=[])
-        # A key deleted before the last gathering is in no older version any more.
-        kept = newest.where(~F.col(GONE) | (F.col(VERSION) > old[0])).select(*self.schema.fieldNames(), GONE)
-        self._write_state(kept, 2 * batch_id - 1)
-        for version in old:
-            if version != 2 * batch_id - 1:
-                drop_path(spark, f"{self.state_path}/{VERSION}={version}")
+        return spark.read.schema(T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])).parquet(self.state_path)
+
+    def touched(self, keys: DataFrame) -> tuple[list[int], DataFrame]:
+        """The buckets of `keys` (at most `buckets` numbers), and their state rows; other partitions are not read."""
+        numbers = sorted(r[0] for r in keys.select(self._bucket()).distinct().collect())
+        return numbers, self._state(keys.sparkSession).where(F.col(BUCKET).isin(numbers)).drop(BUCKET)
 
     def current(self, spark: SparkSession) -> DataFrame:
         """The table as of the last batch."""
-        return self._newest(self._state(spark))
+        return self._state(spark).drop(BUCKET)
 
     def log(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.log_path)
 
     def apply(self, feed: DataFrame, batch_id: int, run_ts: str) -> None:
-        """Apply one batch. Every output folder is named by the batch, so repeating it replaces them."""
-        self._gather(feed.sparkSession, batch_id)
-        with scratch_scope(feed.sparkSession):
-            self._apply(feed, batch_id, run_ts)
-
-    def _apply(self, feed: DataFrame, batch_id: int, run_ts: str) -> None:
-        key = self.spec.key
-        last_op = feed.groupBy(key).agg(F.max_by(self.spec.op, self.spec.seq).alias("_last_op"))
-        # Read by the log and by the new state: written once, as large as the batch's keys.
-        before = written(self._newest(self._touched(last_op.select(key), batch_id)), "before-batch")
-        log = feed_log(before, feed, self.spec, self.hot_rows).withColumn("changed_at", timestamp_lit(run_ts))
-        log.write.mode("overwrite").parquet(f"{self.log_path}/{VERSION}={batch_id}")
-        kept = apply_feed(before, feed, self.spec, timestamp_lit(run_ts)).withColumn(GONE, F.lit(False))
-        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields if f.name != key]
-        gone = last_op.where(F.col("_last_op") == "delete").select(key, *empty, F.lit(True).alias(GONE))
-        self._write_state(kept.unionByName(gone), 2 * batch_id)
-
-    def compact(self, spark: SparkSession, target: ChangeTable) -> None:
+        """Apply one batch. The last batch may be repeated; an earlier one is over and does nothing."""
+        spark, key = feed.sparkSession, self.spec.key
+        kept = {int(name.split("=")[1]): done for name, done in listed(spark, self.before_path) if name.startswith(f"{BATCH}=")}
+        if any(number > batch_id and done for number, done in kept.items()):
+            return
+        with scratch_scope(spark):
+            keys = feed.select(key).where(F.col(key).isNotNull()).distinct()
+            numbers, rows = self.touched(keys)
+            saved = f"{self.before_path}/{BATCH}={batch_id}"
+            if not kept.get(batch_id):
+                rows.join(keys, key, "left_semi").write.mode("overwrite").parquet(saved)
+            before = spark.read.schema(self.schema).parquet(saved)
+            log = feed_log(before, feed, self.spec, self.hot_rows).withColumn("changed_at", timestamp_lit(run_ts))
+            log.write.mode("overwrite").parquet(f"{self.log_path}/{BATCH}={batch_id}")
+            changed = apply_feed(before, feed.where(F.col(key).isNotNull()), self.spec, timestamp_lit(run_ts))
+            written = self._write(rows.join(keys, key, "left_anti").unionByName(changed))
+            for number in set(numbers) - written:  # all of its keys are gone
+                drop_path(spark, f"{self.state_path}/{BUCKET}={number}")
+        for number in kept:
+            if number < batch_id:
+                drop_path(spark, f"{self.before_path}/{BATCH}={number}")
+
+    def rebucket(self, spark: SparkSession, target: ChangeTable) -> None:
         """Current rows as the base of another table folder."""
         target.create(self.current(spark))
 
