@@ -58,8 +58,8 @@ def test_exact_binomial():
 
 
 def test_cutoffs_reject_junk_and_spare_good_documents(spark):
-    good = " ".join(f"w{i}" for i in range(80))
-    rows = [(i, good if i % 3 else " ".join(f"w{j}$$$" for j in range(80)), "en", int(i % 3 > 0)) for i in range(3000)]
+    # Every text is another: copies would be one trial.
+    rows = [(i, " ".join(f"w{j}x{i}" if i % 3 else f"w{j}x{i}$$$" for j in range(80)), "en", int(i % 3 > 0)) for i in range(3000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int")
     known = docs.select("doc_id", "quality", F.lit(0).alias("toxic"))
     out = quality_rules.quality_verdicts(docs, known).join(known, "doc_id")
@@ -68,6 +68,28 @@ def test_cutoffs_reject_junk_and_spare_good_documents(spark):
     assert few.where("NOT kept").isEmpty()
 
 
+def test_repeated_rows_and_copies_certify_nothing(spark):
+    def levels(rows):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        known = docs.select("doc_id", F.when(F.col("text").contains("$"), 0).otherwise(1).alias("quality"), F.lit(0).alias("toxic"))
+        return {r.level for r in quality_rules.quality_verdicts(docs, known).collect()}
+
+    text = lambda i: " ".join(f"w{j}x{i}" if i % 3 else f"w{j}x{i}$$$" for j in range(80))
+    few = [(i, text(i), "en") for i in range(120)]
+    many = [(i, text(i), "en") for i in range(3000)]
+    assert levels(few) == {0}
+    assert levels(few * 25) == {0}  # the same rows again and again
+    assert levels([(10_000 * k + i, t, c) for k in range(25) for i, t, c in few]) == {0}  # copies under other ids
+    once = levels(many)
+    assert once == levels(many + [(10_000 + i, t, c) for i, t, c in many]) and 0 not in once
+
+
+def test_cutoffs_move_no_text(spark, table):
+    kept = quality_rules.keep_good(table("documents"), table("labels"))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
 def test_kept_rows_have_their_columns(odd, labels):
     out = quality_rules.keep_good(odd, labels)
     assert out.columns == odd.columns and {r.kept for r in out.collect()} == {"x"}

@@ -14,14 +14,16 @@ and keeps whatever passes the base rules.
 
 Defined cases: a null or blank text has no words and fails the base; a null
 stratum is a stratum of its own; repeated rows are judged each alike; an
-empty table gives an empty result; labels that repeat an id count once, with
-the lower quality and the higher toxicity; without labels only the base
-rules judge. Other columns of the table are neither read nor confused with
+empty table gives an empty result; a text counts once in its stratum, however many
+rows, ids and labels it has, with the lowest quality and the highest toxicity,
+so copies are neither trials of their own nor in both halves; without labels
+only the base rules judge. Other columns of the table are neither read nor confused with
 the measures.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 
@@ -40,6 +42,8 @@ LEVELS = (0.0, 0.0005, 0.001, 0.002, 0.004, 0.006)
 #: A proposed cutoff must reject bad documents this many times as often as good ones.
 POWER = 5.0
 NEVER = N_BINS + 1
+#: Strata whose cutoffs (some 200 bytes each) are sent to every task, 2 MB at most.
+BROADCAST_STRATA = 10_000
 
 FIELDS = [
     ("__words", T.LongType()),
@@ -48,6 +52,7 @@ FIELDS = [
     ("__dup_lines", T.LongType()),
     ("__repeat_words", T.LongType()),
     ("__bins", T.ArrayType(T.IntegerType())),
+    ("__digest", T.BinaryType()),
 ]
 _SYMBOLS = b"#*$%&|<>"
 _MARKS = b"!?"
@@ -97,9 +102,9 @@ def measure_text(text: bytes | None) -> tuple[int, int, int, int, int, list[int]
 
 
 def _measure(texts: pa.Array) -> list:
-    rows = [measure_text(t) for t in texts.cast(pa.binary()).to_pylist()]
+    rows = [(*measure_text(t), hashlib.blake2b(t or b"", digest_size=16).digest()) for t in texts.cast(pa.binary()).to_pylist()]
     columns = list(zip(*rows)) or [()] * len(FIELDS)
-    kinds = [pa.int64()] * 5 + [pa.list_(pa.int32())]
+    kinds = [pa.int64()] * 5 + [pa.list_(pa.int32()), pa.binary()]
     return [pa.array(c, k) for c, k in zip(columns, kinds)]
 
 
@@ -130,22 +135,24 @@ def binomial_at_most(k: int, n: int, p: float) -> float:
 
 
 def labelled(measures: DataFrame, labels: DataFrame, doc_id: str, stratum: str) -> DataFrame:
-    """Measures of the labelled documents that pass the base rules: good (1), bad (0), and their half."""
+    """Measures of the labelled texts that pass the base rules, once for each stratum: good (1), bad (0), and their half."""
     truth = (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").alias("__id"))
         .agg(F.min("quality").alias("__quality"), F.coalesce(F.max("toxic"), F.lit(0)).alias("__toxic"))
-        .where((F.col("__quality") == 0) | (F.col("__toxic") == 0))
     )
     return (
         measures.where(~base_failed())
-        .select(F.col(doc_id).alias("__id"), F.col(stratum).alias("__stratum"), "__bins")
+        .select(F.col(doc_id).alias("__id"), F.col(stratum).alias("__stratum"), "__bins", "__digest")
         .join(truth, "__id")
+        .groupBy("__stratum", "__digest")
+        .agg(F.first("__bins").alias("__bins"), F.min("__quality").alias("__quality"), F.max("__toxic").alias("__toxic"))
+        .where((F.col("__quality") == 0) | (F.col("__toxic") == 0))
         .select(
             "__stratum",
             "__bins",
             (F.col("__quality") == 1).cast("int").alias("__good"),
-            F.pmod(F.xxhash64("__id"), F.lit(2)).alias("__half"),
+            F.pmod(F.xxhash64("__digest"), F.lit(2)).alias("__half"),
         )
     )
 
@@ -191,7 +198,10 @@ def rejected_at(level: Column) -> Column:
 
 
 def cutoffs(measures: DataFrame, labels: DataFrame, doc_id: str, stratum: str, alpha: float, delta: float) -> DataFrame:
-    """One row for each stratum with labels (`__of`): `__cuts` and the certified `__level` (0: none)."""
+    """One row for each stratum (`__of`) in which a level is certified: `__cuts` and the `__level`, from 1.
+
+    At alpha = 0.01 that takes some 300 good labelled texts, so there are at most so many such strata.
+    """
     known = written(labelled(measures, labels, doc_id, stratum), "quality-labelled")
     cuts = proposed(known.where("__half = 0"))
     strata = max(1, known.select("__stratum").distinct().count())
@@ -207,14 +217,20 @@ def cutoffs(measures: DataFrame, labels: DataFrame, doc_id: str, stratum: str, a
         .groupBy(F.col("__of").alias("__tried"))
         .agg(F.coalesce(F.min(F.when(F.col("__fails"), F.col("__level"))) - 1, F.lit(len(LEVELS))).alias("__level"))
     )
-    return cuts.join(trials, F.col("__of").eqNullSafe(F.col("__tried"))).select("__of", "__cuts", "__level")
+    certified = cuts.join(trials, F.col("__of").eqNullSafe(F.col("__tried"))).where("__level > 0")
+    return written(certified.select("__of", "__cuts", "__level"), "quality-cuts")
 
 
 def judged(measures: DataFrame, cuts: DataFrame, stratum: str) -> DataFrame:
-    """The measures with `__failed` (base) and `__kept`."""
-    verdict = F.coalesce((F.col("__level") > 0) & rejected_at(F.greatest(F.col("__level"), F.lit(1))), F.lit(False))
+    """The measures with `__failed` (base) and `__kept`.
+
+    Strata are few and their rows short, so these are sent to all tasks and no
+    row moves by its stratum; beyond BROADCAST_STRATA they are joined by it.
+    """
+    verdict = F.coalesce(rejected_at(F.col("__level")), F.lit(False))
+    few = F.broadcast(cuts) if cuts.limit(BROADCAST_STRATA + 1).count() <= BROADCAST_STRATA else cuts
     return (
-        measures.join(cuts, F.col(stratum).eqNullSafe(F.col("__of")), "left")
+        measures.join(few, F.col(stratum).eqNullSafe(F.col("__of")), "left")
         .withColumn("__failed", base_failed())
         .withColumn("__kept", ~F.col("__failed") & ~verdict)
     )
