@@ -346,3 +346,12 @@ def test_branches_of_deep_paths(spark):
         ("length.org/*/*/*/*/*/*/*", "allow"): 100,
     }
     assert Counter((r.template, r.verdict) for r in out.collect()) == want
+
+
+def test_texts_of_one_id_are_one_document(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (7, b), (11, c), (9, c), (12, " "), (12, c)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash.near_duplicates(docs, width=3, percent=85).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == plain_components(rows, 3, 85)
+    assert {r.doc_id: r.component_id for r in got if r.n_shingles} == {3: 3, 5: 3, 7: 3, 9: 9, 11: 9, 12: 9}

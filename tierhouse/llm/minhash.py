@@ -21,7 +21,8 @@ below 1e-6 (40 bands of 5).
 
 Defined cases: a text without words and a null text have an empty set and are
 linked with nothing; fewer words than a shingle make one shingle; rows of one
-id are one document whose every text counts; a null id has a null component;
+id are one document whose every text counts, so what one of its texts is linked
+with, all are; a null id has a null component;
 an empty table gives an empty result. Other columns are not read.
 """
 
@@ -225,6 +226,14 @@ def linked_groups(classes: DataFrame, docs: DataFrame, doc_id: str, text: str, w
     return components(more.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
 
+def _of_one_id(own: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the representatives of classes that share an id."""
+    full = own.where("__n > 0 AND __id IS NOT NULL").select("__id", F.col("__class").alias("__c"))
+    several = full.groupBy("__id").agg(F.min("__c").alias("lo"), F.max("__c").alias("hi")).where("lo <> hi").select("__id")
+    nodes = full.join(several, "__id").join(classes.select(F.col("__class").alias("__c"), "__node"), "__c").select("__id", "__node").distinct()
+    return nodes.join(nodes.groupBy("__id").agg(F.min("__node").alias("a")), "__id").where("a <> __node").select("a", F.col("__node").alias("b"))
+
+
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -233,14 +242,21 @@ def near_duplicates(
     percent: int = 80,
     bands: int = BANDS,
     rows: int = ROWS,
+    one_text_per_id: bool = False,
 ) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept. Linked are sets of at least `percent` % Jaccard similarity."""
+    """Per row: doc_id, n_shingles, component_id, kept. Linked are sets of at least `percent` % Jaccard similarity.
+
+    `one_text_per_id` says that no id has several texts, so that none is looked for.
+    """
     own = written(sketches(docs, doc_id, text, width, bands, rows), "minhash-sketches")
     grouped = own.where("__n > 0").groupBy("__class")
     classes = written(
         grouped.agg(F.min("__id").alias("__node"), F.first("__n").alias("__n"), F.first("__keys").alias("__keys")), "minhash-classes"
     )
     groups = linked_groups(classes.where("__node IS NOT NULL"), docs, doc_id, text, width, percent)
+    same = None if one_text_per_id else written(_of_one_id(own, classes), "minhash-ids")
+    if same is not None and not same.isEmpty():
+        groups = components(same.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     of_class = classes.join(groups.withColumnRenamed("node", "__node"), "__node", "left").select(
         F.col("__class").alias("__c"), F.coalesce("component", "__node").alias("__component")
     )
@@ -266,7 +282,7 @@ def one_of_each(
     # Of one id's texts a hash is enough to tell them apart.
     own = F.when(F.col(doc_id).isNotNull(), F.struct(F.col(doc_id).alias("id"), F.xxhash64(F.md5(F.col(text)), F.col(text).isNull()).alias("hash")))
     keyed = docs.select(own.alias("__own"), F.col(text).alias("__text"))
-    decided = written(near_duplicates(keyed, "__own", "__text", width, percent), "minhash-decided")
+    decided = written(near_duplicates(keyed, "__own", "__text", width, percent, one_text_per_id=True), "minhash-decided")
     stay = decided.where("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__stay")).agg(F.count(F.lit(1)).alias("__times"))
     if one_per_id:
         stay = stay.groupBy("__stay.id").agg(F.min_by(F.struct("__stay", "__times"), "__stay").alias("s")).select("s.*")
