@@ -247,3 +247,15 @@ def test_empty_tables(empty, odd, labels):
     assert quality_rules.quality_verdicts(odd, labels.limit(0)).count() == odd.count()
     assert token_counts.token_counts(empty, public_tokenizers.path("byte_bpe_50k.json"), 10).isEmpty()
     assert pii.pii_spans(empty).isEmpty() and pii.redacted(empty).isEmpty()
+
+
+def test_ibans_need_their_country_and_its_length():
+    def made(country, body):
+        turned = "".join(str(int(c, 36)) for c in f"{body}{country}00")
+        return f"{country}{98 - int(turned) % 97:02d}{body}"
+
+    assert not pii.added_spans(" ".join(f"SKU ZZ{k:02d} 1111 2222 3333 4444" for k in range(100)))
+    for country, size in (("ZZ", 16), ("DE", 17), ("DE", 19), ("NO", 12)):  # checksums that hold, for no such account
+        assert not pii.added_spans(f"iban {made(country, '1234567890123456789'[:size])}")
+    good = made("DE", "370400440532013000")
+    assert [s[:3] for s in pii.added_spans(f"iban {good}")] == [("iban", 5, 5 + len(good))]

@@ -35,7 +35,6 @@ CONTEXT = 40
 ACCEPT = 0.6
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
-_LOCAL_RUN = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
@@ -78,16 +77,16 @@ def mod97(text: str) -> bool:
 
 
 def _ibans(text: str) -> list[tuple[int, int]]:
+    """Spans of a registered country and its length, whose checksum holds."""
     found, end = [], 0
     for m in _IBAN.finditer(text):
         if m.start() < end:
             continue
         run = m[1]
-        ends = [len(run), *(i for i in range(len(run) - 1, 0, -1) if run[i] == " ")]
-        tried = [(e, run[:e].replace(" ", "")) for e in ends]
         due = _IBAN_LENGTHS.get(run[:2])
-        for e, bare in sorted(tried, key=lambda t: len(t[1]) != due):
-            if len(bare) >= 15 and mod97(bare):
+        for e in (len(run), *(i for i in range(len(run) - 1, 0, -1) if run[i] == " ")):
+            bare = run[:e].replace(" ", "")
+            if len(bare) == due and mod97(bare):
                 end = m.start() + e
                 found.append((m.start(), end))
                 break
