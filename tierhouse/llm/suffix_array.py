@@ -4,20 +4,22 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Alphabets up to this size are induced bucket by bucket as arrays, larger ones (of reduced texts) entry by entry.
-SMALL_ALPHABET = 1024
+#: Alphabets up to this size, those of bytes, are induced bucket by bucket, larger ones (of reduced texts) by ranges of buckets.
+SMALL_ALPHABET = 257
 
 
-def _types(text: np.ndarray) -> np.ndarray:
+def _run_ends(text: np.ndarray) -> np.ndarray:
+    """For each position the last one of its run of equal symbols."""
+    ends = np.flatnonzero(np.append(text[1:] != text[:-1], True))
+    return np.repeat(ends, np.diff(ends, prepend=-1))
+
+
+def _types(text: np.ndarray, run_ends: np.ndarray) -> np.ndarray:
     """True where a suffix is smaller than the next one; the last is larger than the empty one."""
-    n = len(text)
-    differs = np.flatnonzero(text[:-1] != text[1:])
-    smaller = np.zeros(n, bool)
-    if len(differs):
-        nearest = np.searchsorted(differs, np.arange(n))  # equal symbols are as the end of their run
-        inside = nearest < len(differs)
-        ends = differs[nearest[inside]]
-        smaller[inside] = text[ends] < text[ends + 1]
+    smaller = np.zeros(len(text), bool)
+    inside = run_ends < len(text) - 1
+    ends = run_ends[inside]
+    smaller[inside] = text[ends] < text[ends + 1]
     return smaller
 
 
@@ -81,35 +83,62 @@ def _induce_arrays(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, alp
     return np.concatenate(out)[::-1]
 
 
-def _induce_entries(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, alphabet: int) -> np.ndarray:
-    """The same entry by entry, for alphabets about as large as the text."""
-    ends = np.cumsum(np.bincount(text, minlength=alphabet))
-    heads = np.concatenate([[0], ends[:-1]]).tolist()
-    tails = ends.tolist()
-    symbol, is_smaller = text.tolist(), smaller.tolist()
-    out = [-1] * len(symbol)
-    for p in reversed(seeds.tolist()):
-        c = symbol[p]
-        tails[c] -= 1
-        out[tails[c]] = p
-    last = len(symbol) - 1
-    out_at = heads[symbol[last]]
-    heads[symbol[last]] += 1
-    out[out_at] = last
-    for i in range(len(out)):
-        p = out[i] - 1
-        if p >= 0 and not is_smaller[p]:
-            c = symbol[p]
-            out[heads[c]] = p
-            heads[c] += 1
-    tails = ends.tolist()
-    for i in range(len(out) - 1, -1, -1):
-        p = out[i] - 1
-        if p >= 0 and is_smaller[p]:
-            c = symbol[p]
-            tails[c] -= 1
-            out[tails[c]] = p
-    return np.array(out, np.int64)
+def _ranges(need: np.ndarray) -> list[int]:
+    """Borders of ranges of buckets, upwards from 0, none of which holds a bucket that another one of it needs."""
+    borders, low = [0], 0
+    for bucket, needed in enumerate(need.tolist()):
+        if needed >= low:  # a needed bucket lies before the one that needs it
+            borders.append(bucket)
+            low = bucket
+    return [*borders, len(need)]
+
+
+def _induce_ranges(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, alphabet: int) -> np.ndarray:
+    """The same for alphabets about as large as the text, by ranges of buckets.
+
+    Suffixes of a bucket stand in the order of their runs of equal symbols and
+    of the suffixes behind these. Buckets whose suffixes need no bucket of the
+    same range are dealt at once, about sqrt(alphabet) ranges in usual texts
+    (one for each bucket at worst).
+    """
+    n = len(text)
+    run_ends = _run_ends(text)
+    sizes = np.bincount(text, minlength=alphabet)
+    begin = np.cumsum(sizes) - sizes
+    begin_smaller = begin + np.bincount(text[~smaller], minlength=alphabet)
+    rank = np.full(n + 1, -1, np.int64)  # the empty suffix comes first
+    seeds = seeds[np.argsort(text[seeds], kind="stable")]
+    symbols = text[seeds]
+    rank[seeds] = begin_smaller[symbols] + np.arange(len(seeds)) - np.searchsorted(symbols, symbols)
+    for upwards in (True, False):
+        own = np.flatnonzero(smaller != upwards)
+        run = run_ends[own] - own  # short ones come first among the larger, last among the smaller
+        code = text[own] * (n + 1) + (run if upwards else n - run)
+        order = np.argsort(code, kind="stable")
+        own, code = own[order], code[order]
+        symbols, behind = text[own], run_ends[own] + 1
+        cuts = np.searchsorted(symbols, np.arange(alphabet + 1))
+        place = (begin if upwards else begin_smaller)[symbols] - cuts[symbols] + np.arange(len(own))
+        code = np.cumsum(np.diff(code, prepend=code[:1]) != 0) * (n + 1)
+        waits = behind < n
+        waits[waits] = smaller[behind[waits]] != upwards  # placed in this pass, too
+        if upwards:
+            need = np.full(alphabet, -1)
+            np.maximum.at(need, symbols[waits], text[behind[waits]])
+            borders = _ranges(need)
+        else:
+            need = np.full(alphabet, -1)
+            np.maximum.at(need, alphabet - 1 - symbols[waits], alphabet - 1 - text[behind[waits]])
+            borders = [alphabet - b for b in _ranges(need)]
+        edges = cuts[borders].tolist()
+        for low, high in zip(edges[:-1], edges[1:]):
+            low, high = min(low, high), max(low, high)
+            if low < high:
+                at = np.argsort(code[low:high] + rank[behind[low:high]])
+                rank[own[low:high][at]] = place[low:high]
+    out = np.empty(n, np.int64)
+    out[rank[:n]] = np.arange(n)
+    return out
 
 
 def suffix_array(text: np.ndarray, alphabet: int) -> np.ndarray:
@@ -117,8 +146,8 @@ def suffix_array(text: np.ndarray, alphabet: int) -> np.ndarray:
     n = len(text)
     if n < 2:
         return np.arange(n)
-    induce = _induce_arrays if alphabet <= SMALL_ALPHABET else _induce_entries
-    smaller = _types(text)
+    induce = _induce_arrays if alphabet <= SMALL_ALPHABET else _induce_ranges
+    smaller = _types(text, _run_ends(text))
     marks = np.zeros(n, bool)
     marks[1:] = smaller[1:] & ~smaller[:-1]
     leftmost = np.flatnonzero(marks)
