@@ -289,6 +289,30 @@ def test_mixed_rows(odd, empty):
     assert mixing.mixed(empty).isEmpty()
 
 
+def test_mixing_of_rows_that_agree(spark):
+    """Hot classes of equal ids, sources and sizes: sums are met, and the mix takes what the mixture says."""
+    equal = spark.range(0, 200_000, 1, 4).selectExpr("CAST(NULL AS BIGINT) doc_id", "'a b c' text", "'hot' source", "id extra")
+    some = spark.range(400).selectExpr("id % 7 doc_id", "concat('v', id % 5, ' w') text", "CAST(id % 3 AS STRING) source", "id extra")
+    docs = equal.union(some)
+    got = mixing.mixture(docs).groupBy("doc_id", "source", "size", "target", "copies").count().collect()
+    assert sum(r["count"] for r in got) == 200_400
+    by_source, target = Counter(), {}
+    for r in got:
+        by_source[r.source] += r.copies * r.size * r["count"]
+        target[r.source] = r.target
+    assert all(abs(by_source[s] - t) <= 2 for s, t in target.items())
+    out = mixing.mixed(docs)
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    wanted, taken = Counter(), Counter()
+    for r in got:
+        if r.copies:
+            wanted[r.doc_id, r.source, r.size, r.copies] += r["count"]
+    for r in out.groupBy("doc_id", "source", "text", "extra").agg(F.count("*").alias("n"), F.max("copy").alias("last")).groupBy("doc_id", "source", F.size(F.split("text", " ")).cast("long").alias("size"), "n", "last").count().collect():
+        assert r.n == r.last
+        taken[r.doc_id, r.source, r.size, r.n] += r["count"]
+    assert taken == wanted
+
+
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/")]
 
 

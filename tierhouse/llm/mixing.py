@@ -12,6 +12,12 @@ blocks are blocks of the next level, up to one document for each source,
 which is rounded to the nearest. A source thus misses its target by half a
 (usually small) document at most. Only DataFrame functions are used.
 
+Rows that agree in id, source and size are interchangeable and of one size, so
+moving words among them comes to this: as many of them as are due together
+get a copy, and one is left with the fraction that remains. Only that one meets
+other documents. Such rows are a count until the result is made, however many
+they are.
+
 Defined cases: a null text has size 0 and is taken 0 times; a null source is a
 source, ordered last; an empty source (size 0) has target 0; repeated rows
 count each; equal sizes are ordered by hash and id; an empty table gives an
@@ -21,11 +27,12 @@ hashes of ids, so a rerun gives the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierhouse.llm.common import uniform, written
 from tierhouse.operators.ordered import dense_number
+from tierhouse.operators.rows import explode_range
 
 #: Documents folded together; the leftovers of so many blocks make a block of the next level.
 BLOCK = 100
@@ -43,13 +50,13 @@ def word_count(text: Column) -> Column:
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
-    """Per source (`__source`): its size, weight, and target after capping.
+    """Per source (`__source`): its size, weight, and target after capping; `sizes` has `__rows` rows of `__size` words each.
 
     Works on one row for each source. The excess of capped sources goes to the
     others by weight, again until no source is above its cap; each pass caps
     at least one more source, and the driver sees two numbers of it.
     """
-    sources = sizes.groupBy("__source").agg(F.sum("__size").alias("__source_size"))
+    sources = sizes.groupBy("__source").agg(F.sum(F.col("__size") * F.col("__rows")).alias("__source_size"))
     numbered = written(
         dense_number(sources, [F.col("__source").isNull(), F.col("__source")], "__rank"), "mixing-sources"
     ).withColumn("__weight", F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.pmod(F.col("__rank") - 1, F.lit(len(WEIGHTS))) + 1).cast("int")))
@@ -112,7 +119,7 @@ def rounded(rows: DataFrame, most: int) -> DataFrame:
     left = rows.where(~whole)
     while True:
         blocks = -(-most // BLOCK)
-        # Blocks are dealt by content and id; rows that agree in all of it are interchangeable.
+        # Blocks are dealt by id and size, in which no two rows of a source agree.
         block = F.pmod(F.xxhash64("__id", "__size", F.lit(level)), F.lit(blocks))
         item = F.struct(
             (-F.col("__size")).alias("order"),
@@ -145,59 +152,105 @@ def rounded(rows: DataFrame, most: int) -> DataFrame:
     return out
 
 
-def mixture(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """Per row: doc_id, source, size, source_size, target and copies; taken = copies * size."""
+def _classes(docs: DataFrame, doc_id: str, text: str, source: str) -> tuple[DataFrame, bool]:
+    """A row for the rows of docs that agree in id, source and size, and whether any do.
+
+    `rows` is their number; each is taken `whole` times, and `extra` of them
+    once more.
+    """
     sizes = written(
         docs.select(
             F.col(doc_id).alias("__id"), F.col(source).cast("string").alias("__source"), word_count(F.col(text)).alias("__size")
-        ),
+        )
+        .groupBy("__id", "__source", "__size")
+        .agg(F.count(F.lit(1)).alias("__rows")),
         "mixing-sizes",
     )
     targets = source_targets(sizes).withColumnRenamed("__source", "__of")
     due = sizes.join(targets, F.col("__source").eqNullSafe(F.col("__of")))
     rate = F.when(F.col("__source_size") > 0, F.least(F.lit(MOST_COPIES), F.col("__target") / F.col("__source_size"))).otherwise(0.0)
+    together = F.col("__rows") * (F.col("__rate") - F.floor("__rate"))
+    settled = F.least(F.floor(together), F.col("__rows") - 1)
     rows = due.withColumn("__rate", rate).select(
         "__source",
         "__size",
         "__id",
-        (F.col("__rate") - F.floor("__rate")).alias("__frac"),
+        (together - settled).alias("__frac"),
         F.struct(
             F.col("__id").alias("doc_id"),
             F.col("__source").alias("source"),
             F.col("__size").alias("size"),
             F.col("__source_size").alias("source_size"),
             F.col("__target").alias("target"),
+            F.col("__rows").alias("rows"),
             F.floor("__rate").cast("int").alias("whole"),
+            settled.alias("settled"),
         ).alias("__row"),
     )
-    most = sizes.groupBy("__source").count().agg(F.max("count").alias("n")).first().n or 1
-    out = rounded(rows, most)
-    copies = F.col("__row.whole") + F.col("__extra")
-    return out.select("__row.doc_id", "__row.source", "__row.size", "__row.source_size", "__row.target", copies.alias("copies")).withColumn(
+    counts = sizes.groupBy("__source").agg(F.count(F.lit(1)).alias("n"), F.max("__rows").alias("m"))
+    most = counts.agg(F.max("n").alias("n"), F.max("m").alias("m")).first()
+    out = rounded(rows, most.n or 1)
+    fields = [F.col(f"__row.{c}").alias(c) for c in ("doc_id", "source", "size", "source_size", "target", "rows", "whole")]
+    return out.select(*fields, (F.col("__row.settled") + F.col("__extra")).alias("extra")), (most.m or 1) > 1
+
+
+def mixture(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """Per row: doc_id, source, size, source_size, target and copies; taken = copies * size."""
+    classes, repeats = _classes(docs, doc_id, text, source)
+    place = F.lit(1)
+    if repeats:
+        classes, place = explode_range(written(classes, "mixing-classes"), F.lit(1), F.col("rows"), 1, "__place"), F.col("__place")
+    copies = F.col("whole") + (place <= F.col("extra")).cast("int")
+    return classes.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies")).withColumn(
         "taken", F.col("copies").cast("long") * F.col("size")
     )
 
 
 def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mix itself: the rows of `docs` with all their columns, each as often as it is taken, and `copy` from 1."""
-    taken = written(mixture(docs, doc_id, text, source), "mixing-taken")
+    classes, repeats = _classes(docs, doc_id, text, source)
     key = lambda i, s, n: F.xxhash64(i, s, n)
-    # Rows that agree in id, source and size share their copies out among themselves.
-    due = taken.groupBy("doc_id", "source", "size").agg(F.array_sort(F.collect_list("copies")).alias("__due"))
-    due = due.select(key("doc_id", "source", "size").alias("__key"), F.col("doc_id").alias("__i"), F.col("source").alias("__s"), F.col("size").alias("__n"), "__due")
+    due = written(
+        classes.select(
+            key("doc_id", "source", "size").alias("__key"),
+            F.col("doc_id").alias("__i"),
+            F.col("source").alias("__s"),
+            F.col("size").alias("__n"),
+            F.col("whole").alias("__whole"),
+            F.col("extra").alias("__extra"),
+            ((F.col("extra") > 0) & (F.col("extra") < F.col("rows"))).alias("__divided"),
+        ),
+        "mixing-taken",
+    )
     own = {"__src": F.col(source).cast("string"), "__len": word_count(F.col(text))}
-    rows = docs.select(F.struct(*docs.columns).alias("__row"), F.col(doc_id).alias("__id"), *(c.alias(k) for k, c in own.items()))
-    rows = rows.withColumn("__own", key("__id", "__src", "__len"))
-    place = F.lit(1)
-    if not due.where(F.size("__due") > 1).isEmpty():
-        place = F.row_number().over(Window.partitionBy("__own").orderBy(F.lit(1)))
-    joined = rows.withColumn("__place", place).join(
+    rows = docs.select(
+        F.struct(*docs.columns).alias("__row"), F.col(doc_id).alias("__id"), F.xxhash64(F.col(text)).alias("__hash"), *(c.alias(k) for k, c in own.items())
+    ).withColumn("__own", key("__id", "__src", "__len"))
+    joined = rows.join(
         due,
         (F.col("__own") == F.col("__key"))
         & F.col("__id").eqNullSafe(F.col("__i"))
         & F.col("__src").eqNullSafe(F.col("__s"))
         & (F.col("__len") == F.col("__n")),
     )
-    copies = F.element_at("__due", F.least(F.col("__place"), F.size("__due")))
-    times = F.when(copies > 0, F.sequence(F.lit(1), copies)).otherwise(F.array().cast("array<int>"))
-    return joined.select("__row", F.explode(times).alias("__copy")).select("__row.*", F.col("__copy").alias("copy"))
+    taken = joined.select("__row", (F.col("__whole") + (F.col("__extra") > 0).cast("int")).alias("__copies"), "__divided")
+    if repeats and not due.where("__divided").isEmpty():
+        taken = taken.where("NOT __divided").unionByName(_shared_out(joined.where("__divided")))
+    times = F.when(F.col("__copies") > 0, F.sequence(F.lit(1), F.col("__copies"))).otherwise(F.array().cast("array<int>"))
+    return taken.select("__row", F.explode(times).alias("__copy")).select("__row.*", F.col("__copy").alias("copy"))
+
+
+def _shared_out(rows: DataFrame) -> DataFrame:
+    """Rows of classes of which some get one copy more: the first ones by the hash of their text.
+
+    They are numbered in range partitions, and a draw parts equal texts, so no class is one task's.
+    """
+    same = ["__own", "__id", "__src", "__len"]
+    numbered = written(dense_number(rows, [*same, "__hash", F.rand(1)], "__at"), "mixing-shared")
+    first = numbered.groupBy(*same).agg(F.min("__at").alias("__first"))
+    first = first.select(*(F.col(c).alias(f"{c}_of") for c in same), "__first")
+    of_class = F.lit(True)
+    for c in same:
+        of_class = of_class & F.col(c).eqNullSafe(F.col(f"{c}_of"))
+    more = F.col("__at") - F.col("__first") < F.col("__extra")
+    return numbered.join(first, of_class).select("__row", (F.col("__whole") + more.cast("int")).alias("__copies"), "__divided")
