@@ -209,6 +209,20 @@ def test_decontaminated_rows(odd, items, empty):
     assert decontaminate.contaminated_rows(empty, items).isEmpty()
 
 
+def test_documents_and_items_with_one_instruction(spark, monkeypatch):
+    """Items are listed once for all documents that hit the same windows; few or many keys give the same."""
+    said = " ".join(f"i{k}" for k in range(40))
+    some = lambda a, n: " ".join(f"{a}x{k}" for k in range(n))
+    docs = [(d, f"{some(f'd{d}', 5)} {said} {some(f'e{d}', 3)}") for d in range(60)] + [(100, some("i9", 30)), (101, f"{some('z', 3)} {said[:20]}")]
+    items = [(i, f"{said} {some(f'q{i}', 6)}") for i in range(50)] + [(90, some("q", 12)), (None, said), (91, "i3 i4")]
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = plain_hits(docs, [(("" if i is None else i), t) for i, t in items])
+    for few in (decontaminate.FEW_KEYS, 0):
+        monkeypatch.setattr(decontaminate, "FEW_KEYS", few)
+        got = decontaminate.contaminated_rows(*frames).collect()
+        assert Counter((r.doc_id, r.n_words, r.n_hit, r.n_items, r.contaminated) for r in got) == Counter(k[:4] + k[5:] for k in want.elements())
+
+
 def test_items_without_an_id(spark, tmp_path):
     import duckdb
 

@@ -3,12 +3,15 @@
 Of every `WINDOW` consecutive hashes of `GRAM`-word grams the smallest is a
 fingerprint. Two texts that share GRAM + WINDOW - 1 = 10 words share such a
 window, hence its fingerprint, so joining fingerprints of documents and
-benchmark items finds every shared span of ten words. Each hit fixes a
-diagonal, document position minus item position; along it the words
-themselves are compared, and runs of at least ten equal words (or the whole of
-a shorter item) are hits. Items of fewer than ten words are found by a gram of
-their own length, for the lengths that occur. Only DataFrame functions are
-used; fingerprints, diagonals and runs stay rows of tables.
+benchmark windows finds every shared span of ten words. A window has its
+fingerprint at one of six offsets, so each hit gives at most six places of the
+document, however many items have that fingerprint. The words of these places
+are joined with the distinct windows of the benchmark; windows that overlap
+extend a hit. Items of fewer than ten words are one window, found by a gram of
+their own length, for the lengths that occur. Windows of the same items form a
+class, and documents that hit the same classes form a set: items are listed
+once for each set, so n documents and n items with one passage in common make n
+and n rows, not n times n. Only DataFrame functions are used.
 
 Defined cases: null text has no words; a document or item without words meets
 nothing; a short item is one window; an item that repeats counts once by its
@@ -28,6 +31,8 @@ from tierhouse.llm.common import written
 
 GRAM, WINDOW = 5, 6
 SPAN = GRAM + WINDOW - 1
+#: Keys (64 bits each) of documents with a common fingerprint that are broadcast; more are joined by a shuffle.
+FEW_KEYS = 1_000_000
 #: Fixed value: what separates words.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -80,73 +85,78 @@ def _of_length(df: DataFrame, key: str, tokens: Column, n: int) -> DataFrame:
     return df.select(key, F.posexplode(_grams(tokens, n)).alias("pos", "fp"))
 
 
-def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(__key, __item_key, __diagonals) of each document and item with equal fingerprints.
+def _windows(items: DataFrame) -> DataFrame:
+    """item_id and __window (words joined by spaces, which no word has): each window of an item once."""
+    item = F.col("__item")
+    cut = F.transform(_places(F.size(item) - SPAN + 1), lambda i: F.array_join(F.slice(item, i + 1, SPAN), " "))
+    own = F.when(F.size(item) >= SPAN, cut).otherwise(F.array(F.array_join(item, " ")))
+    return items.where(F.size("__item") > 0).select("item_id", F.explode(own).alias("__window")).distinct()
 
-    `docs` has __key and __text; `items` has __item_key (not null) and __item
-    (words), one row each. There are never more diagonals than words in the two together.
-    """
-    sized = items.where(F.size("__item") > 0)
-    long_items = sized.where(F.size("__item") >= SPAN)
+
+def _classed(windows: DataFrame) -> DataFrame:
+    """Distinct windows with __class, equal for windows of the same items (128 bits and the number of items)."""
+    hashed = lambda seed: F.hex(F.bit_xor(F.xxhash64("item_id", F.col("item_id").isNull(), F.lit(seed))))
+    return windows.groupBy("__window").agg(F.concat_ws(":", F.count(F.lit(1)), hashed(1), hashed(2)).alias("__class"))
+
+
+def _candidates(docs: DataFrame, classed: DataFrame) -> DataFrame:
+    """__key and __places, the (start, n) in a document where a window of n words can be; at most one for each word and n."""
+    parts = classed.select(F.split("__window", " ").alias("__words"))
     tokens = words(F.col("__text"))
-    met = [_met(_selected(docs, "__key", tokens), _selected(long_items, "__item_key", F.col("__item")))]
+
+    def offset(grams: Column) -> Column:
+        low = F.array_min(grams)
+        return F.struct(low.alias("low"), (F.array_position(grams, low) - 1).cast("int").alias("offset"))
+
+    long_ = parts.where(F.size("__words") == SPAN).select(_bound(_grams(F.col("__words"), GRAM), offset).alias("w"))
+    met = _met(_selected(docs, "__key", tokens), long_.select(F.col("w.low").alias("low"), F.col("w.offset").alias("offset")), SPAN)
     # At most nine lengths, whatever the benchmark's size.
-    short = sorted(r.n for r in sized.where(F.size("__item") < SPAN).select(F.size("__item").alias("n")).distinct().collect())
+    short = sorted(r.n for r in parts.select(F.size("__words").alias("n")).where(F.col("n") < SPAN).distinct().collect())
     for n in short:
-        own = sized.where(F.size("__item") == n)
-        met.append(_met(_of_length(docs, "__key", tokens, n), _of_length(own, "__item_key", F.col("__item"), n)))
-    diagonals = met[0]
-    for m in met[1:]:
-        diagonals = diagonals.unionByName(m)
-    grouped = diagonals.distinct().groupBy("__key", "__item_key").agg(F.collect_list("diagonal").alias("__diagonals"))
-    return written(grouped, "winnow-diagonals")
-
-
-def _met(left: DataFrame, right: DataFrame) -> DataFrame:
-    right = right.select("__item_key", F.col("pos").alias("__q"), F.col("fp").alias("__fp"))
-    return left.join(right, F.col("fp") == F.col("__fp")).select("__key", "__item_key", (F.col("pos") - F.col("__q")).alias("diagonal"))
-
-
-def _runs(tokens: Column, item: Column, diagonal: Column) -> Column:
-    """Runs of equal words along a diagonal that are long enough, as (first, last) in the document."""
-    begin = F.greatest(F.lit(0), -diagonal)  # first place in the item
-    end = F.least(F.size(item), F.size(tokens) - diagonal)  # behind the last
-    need = F.least(F.size(item), F.lit(SPAN))
-    part = F.slice(item, begin + 1, end - begin)
-    own = F.slice(tokens, begin + diagonal + 1, end - begin)
-    equal = F.zip_with(part, own, lambda a, b: a == b)
-    # Places that differ, with one before and one behind all: gaps between them are the runs.
-    breaks = F.concat(
-        F.array(F.lit(-1)),
-        F.filter(F.transform(equal, lambda e, i: F.when(~e, i)), lambda i: i.isNotNull()),
-        F.array(F.size(equal)),
-    )
-    spans = F.zip_with(
-        F.slice(breaks, F.lit(1), F.size(breaks) - 1),
-        F.slice(breaks, F.lit(2), F.size(breaks) - 1),
-        lambda a, b: F.struct((a + 1 + begin + diagonal).alias("first"), (b - 1 + begin + diagonal).alias("last")),
-    )
-    return F.filter(spans, lambda s: s["last"] - s["first"] + 1 >= need)
+        own = parts.where(F.size("__words") == n).select(F.element_at(_grams(F.col("__words"), n), 1).alias("low"), F.lit(0).alias("offset"))
+        met = met.unionByName(_met(_of_length(docs, "__key", tokens, n), own, n))
+    return written(met.groupBy("__key").agg(F.collect_set(F.struct("start", "n")).alias("__places")), "winnow-places")
+
+
+def _met(left: DataFrame, right: DataFrame, n: int) -> DataFrame:
+    return left.join(right.distinct(), F.col("fp") == F.col("low")).select("__key", (F.col("pos") - F.col("offset")).alias("start"), F.lit(n).alias("n"))
+
+
+def hits(docs: DataFrame, classed: DataFrame) -> DataFrame:
+    """(__key, first, last, __class) of every place of a document where a window of `classed` occurs.
+
+    `docs` has __key and __text, `classed` is as of `_classed`.
+    """
+    places = _candidates(docs, classed)
+    keys = places.select("__key")
+    few = keys.count() <= FEW_KEYS
+    # Texts without a hit need not move: the keys are broadcast while they are few, else joined by a shuffle.
+    near = docs.join(F.broadcast(keys) if few else keys, "__key", "left_semi")
+
+    def spans(tokens: Column) -> Column:
+        fits = F.filter("__places", lambda p: (p["start"] >= 0) & (p["start"] + p["n"] <= F.size(tokens)))
+        return F.transform(
+            fits,
+            lambda p: F.struct(
+                p["start"].alias("first"),
+                (p["start"] + p["n"] - 1).alias("last"),
+                F.array_join(F.slice(tokens, p["start"] + 1, p["n"]), " ").alias("words"),
+            ),
+        )
+
+    placed = near.join(places, "__key").select("__key", F.explode(_bound(words(F.col("__text")), spans)).alias("s"))
+    return placed.join(classed, F.col("s.words") == F.col("__window")).select("__key", "s.first", "s.last", "__class")
 
 
 def contamination(docs: DataFrame, items: DataFrame, key: str) -> DataFrame:
-    """Per key with a hit: n_hit, the item ids (sorted strings) and whether an item without id is hit.
+    """Per key with a hit: n_hit, n_items, items_sha256, and item_ids (sorted strings; an item without id counts but is not listed).
 
-    `docs` has `key` and __text; rows of one key are the same. `items` as in `hits`, with item_id.
+    `docs` has `key` and __text; rows of one key are the same. `items` has item_id and __item (words).
     """
     docs = docs.withColumnRenamed(key, "__key")
-    found = hits(docs, items).join(items, "__item_key")
-    spans = _bound(
-        words(F.col("__text")),
-        lambda tokens: F.flatten(F.transform("__diagonals", lambda d: _runs(tokens, F.col("__item"), d))),
-    )
-    extended = (
-        docs.join(found, "__key")
-        .select("__key", "item_id", F.explode(spans).alias("s"))
-        .select("__key", "item_id", "s.first", "s.last")
-        .distinct()
-    )
-    # The words of a document that lie in some run: spans in order, each counted beyond the reach of those before.
+    windows = written(_windows(items), "winnow-windows")
+    classed = written(_classed(windows), "winnow-classes")
+    # The words of a document that lie in some window: spans in order, each counted beyond the reach of those before.
     covered = F.aggregate(
         F.array_sort(F.collect_set(F.struct("first", "last"))),
         F.struct(F.lit(-1).alias("reach"), F.lit(0).cast("long").alias("n")),
@@ -156,21 +166,30 @@ def contamination(docs: DataFrame, items: DataFrame, key: str) -> DataFrame:
         ),
         lambda s: s["n"],
     )
-    return (
-        extended.groupBy("__key")
+    found = hits(docs, classed).groupBy("__key").agg(covered.alias("n_hit"), F.array_sort(F.collect_set("__class")).alias("__classes"))
+    found = written(found.withColumn("__set", F.sha2(F.array_join("__classes", ","), 256)), "winnow-found")
+    # A class's items are those of any of its windows.
+    members = windows.join(classed.groupBy("__class").agg(F.min("__window").alias("__window")), "__window").select("__class", "item_id")
+    sets = found.groupBy("__set").agg(F.first("__classes").alias("__classes")).select("__set", F.explode("__classes").alias("__class"))
+    listed = (
+        sets.join(members, "__class")
+        .groupBy("__set")
         .agg(
-            covered.alias("n_hit"),
             F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"),
             F.max(F.col("item_id").isNull().cast("int")).alias("nameless"),
         )
-        .withColumnRenamed("__key", key)
+        .select(
+            "__set",
+            "item_ids",
+            (F.size("item_ids") + F.col("nameless")).cast("long").alias("n_items"),
+            F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        )
     )
+    return found.join(listed, "__set").select(F.col("__key").alias(key), "n_hit", "n_items", "items_sha256", "item_ids")
 
 
 def _items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
-    """item_id, __item (words) and a key of both, as ids can be null or have several texts."""
-    items = benchmark.select(F.col(item_id).alias("item_id"), words(F.col(text)).alias("__item")).dropDuplicates(["item_id", "__item"])
-    return items.withColumn("__item_key", F.xxhash64("item_id", F.col("item_id").isNull(), F.md5(F.array_join("__item", " "))))
+    return benchmark.select(F.col(item_id).alias("item_id"), words(F.col(text)).alias("__item"))
 
 
 def _row_key(doc_id: str, text: str) -> Column:
@@ -183,15 +202,14 @@ def contaminated_rows(
 ) -> DataFrame:
     """Per row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     rows = docs.select(F.col(doc_id).alias("__doc"), _row_key(doc_id, text).alias("__k"), F.col(text).alias("__text"))
-    found = contamination(rows.select("__k", "__text"), _items(benchmark, item_id, item_text), "__k")
+    found = contamination(rows.select("__k", "__text"), _items(benchmark, item_id, item_text), "__k").drop("item_ids")
     out = rows.select("__doc", "__k", F.size(words(F.col("__text"))).cast("long").alias("n_words")).join(found, "__k", "left")
-    n_items = F.size("item_ids") + F.col("nameless")
     return out.select(
         F.col("__doc").alias("doc_id"),
         "n_words",
         F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
-        F.when(F.col("item_ids").isNull(), 0).otherwise(n_items).cast("long").alias("n_items"),
-        F.sha2(F.coalesce(F.array_join("item_ids", ","), F.lit("")), 256).alias("items_sha256"),
+        F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
+        F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
         F.col("n_hit").isNotNull().alias("contaminated"),
     )
 
@@ -201,5 +219,5 @@ def without_contaminated(
 ) -> DataFrame:
     """The rows that share no window with the benchmark, with all their columns."""
     rows = docs.select(_row_key(doc_id, text).alias("__k"), F.col(text).alias("__text"))
-    found = written(contamination(rows, _items(benchmark, item_id, item_text), "__k").select("__k"), "winnow-found")
+    found = contamination(rows, _items(benchmark, item_id, item_text), "__k").select("__k")
     return docs.join(found, _row_key(doc_id, text) == F.col("__k"), "left_anti")
