@@ -207,7 +207,13 @@ def mixture(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
 
 
 def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """The mix itself: the rows of `docs` with all their columns, each as often as it is taken, and `copy` from 1."""
+    """The mix itself: the rows of `docs` with all their columns, each as often as it is taken, and `copy` from 1.
+
+    If the table has a column of that name, the number's gets a line below after it (`copy_`).
+    """
+    number, taken_names = "copy", {c.lower() for c in docs.columns}
+    while number in taken_names:
+        number += "_"
     classes, repeats = _classes(docs, doc_id, text, source)
     key = lambda i, s, n: F.xxhash64(i, s, n)
     due = written(
@@ -237,7 +243,7 @@ def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     if repeats and not due.where("__divided").isEmpty():
         taken = taken.where("NOT __divided").unionByName(_shared_out(joined.where("__divided")))
     times = F.when(F.col("__copies") > 0, F.sequence(F.lit(1), F.col("__copies"))).otherwise(F.array().cast("array<int>"))
-    return taken.select("__row", F.explode(times).alias("__copy")).select("__row.*", F.col("__copy").alias("copy"))
+    return taken.select("__row", F.explode(times).alias("__copy")).select("__row.*", F.col("__copy").alias(number))
 
 
 def _shared_out(rows: DataFrame) -> DataFrame:
