@@ -10,18 +10,24 @@ document's own share is taken out of its path before the two are combined on
 the scale of log odds, so no evidence counts twice. Sparse sites thus fall
 back to their host, and sparse hosts to the whole table.
 
-The classifier learns from at most about `sample` labelled documents, chosen
-by a hash of their ids; everything else covers all documents.
+The classifier learns from about `sample` labelled documents at most, chosen by
+a hash of their ids, one row for each; everything else covers all documents.
+It is fitted once for each fold of the texts, on the others' texts, and a
+document is scored by its own fold's: none is scored by a classifier that has
+learnt from its text, so the sites' sums are not made of fitted labels either.
 
 Defined cases: a null text has no words and is scored as such; null hosts and
 paths are sites of their own; repeated rows count each; an empty table gives
 an empty result; labels that repeat an id count once (lower quality, higher
-toxicity); without labels every probability is one half and nothing is
+toxicity), and of a labelled id's rows one text is learnt from, that of the
+least digest, so repeated rows change nothing and reruns agree; without labels every probability is one half and nothing is
 dropped.
 """
 
 from __future__ import annotations
 
+import hashlib
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,6 +44,17 @@ WORD_SLOTS = 1 << 15
 STEPS = 16
 SLOTS = WORD_SLOTS + len(RULES) * STEPS
 HEADS = ("good", "toxic")
+FOLDS = 2
+#: Up to this sample the chosen ids (some 32 bytes each) are sent to every task, 32 MB at most.
+BROADCAST_SAMPLE = 1_000_000
+
+
+def digest_of(text: bytes | None) -> bytes:
+    return hashlib.blake2b(text or b"", digest_size=16).digest()
+
+
+def fold_of(digest: bytes) -> int:
+    return digest[0] % FOLDS
 
 
 def features(texts: list[bytes | None]) -> list[np.ndarray]:
@@ -84,7 +101,19 @@ def fit_head(rows: list[np.ndarray], truth: np.ndarray, steps: int = 250) -> Hea
     return Head(np.where(use, weights, 0.0), bias)
 
 
-def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, sample: int) -> list[Head]:
+def _packed(slots: np.ndarray) -> bytes:
+    """A document's slots as compressed bits: some 4 KB at most, however long its text."""
+    bits = np.zeros(SLOTS, bool)
+    bits[slots] = True
+    return zlib.compress(np.packbits(bits).tobytes())
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.flatnonzero(np.unpackbits(np.frombuffer(zlib.decompress(packed), np.uint8), count=SLOTS)).astype(np.int32)
+
+
+def learnt_from(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, sample: int) -> DataFrame:
+    """One row for each chosen labelled id, in order of the ids: __quality, __toxic, __digest and __slots."""
     truth = (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").alias("__id"))
@@ -92,27 +121,43 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, sample: in
     )
     share = sample / max(1, truth.count())
     chosen = truth.where(uniform(F.col("__id"), F.lit(11)) < share)
-    rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__body")).join(chosen, "__id")
+    few = F.broadcast(chosen) if sample <= BROADCAST_SAMPLE else chosen
+    rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__body")).join(few, "__id")
 
     def measure(texts: pa.Array) -> list:
-        made = features(texts.cast(pa.binary()).to_pylist())
-        return [pa.array([f.tobytes() for f in made], pa.binary())]
+        bodies = texts.cast(pa.binary()).to_pylist()
+        return [pa.array([digest_of(t) for t in bodies], pa.binary()), pa.array(map(_packed, features(bodies)), pa.binary())]
+
+    fields = [("__digest", T.BinaryType()), ("__slots", T.BinaryType())]
+    made = mapped(rows, "__body", ["__id", "__quality", "__toxic"], fields, measure)
+    first = F.min(F.struct("__digest", "__slots")).alias("__text")
+    return (
+        made.groupBy("__id", "__quality", "__toxic").agg(first).orderBy("__id")
+        .select("__quality", "__toxic", "__text.__digest", "__text.__slots")
+    )
 
-    fields = [("__slots", T.BinaryType())]
-    got = mapped(rows, "__body", ["__quality", "__toxic"], fields, measure).toArrow().to_pydict()  # `sample` rows
-    slots = [np.frombuffer(b, np.int32) for b in got["__slots"]]
-    return [
-        fit_head(slots, np.array(got["__quality"], float)),
-        fit_head(slots, np.array(got["__toxic"], float)),
-    ]
+
+def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, sample: int) -> list[list[Head]]:
+    """For each fold the heads that are fitted on the texts of the others."""
+    got = learnt_from(docs, labels, doc_id, text, sample).toArrow().to_pydict()  # `sample` rows of 4 KB at most
+    slots = [_unpacked(b) for b in got["__slots"]]
+    folds = np.array([fold_of(d) for d in got["__digest"]], int)
+    truths = [np.array(got[c], float) for c in ("__quality", "__toxic")]
+    out = []
+    for fold in range(FOLDS):
+        use = np.flatnonzero(folds != fold)
+        out.append([fit_head([slots[i] for i in use], truth[use]) for truth in truths])
+    return out
 
 
-def scored(docs: DataFrame, heads: list[Head], text: str, keep: list[str]) -> DataFrame:
-    """`keep` and the classifier's probability of each head."""
+def scored(docs: DataFrame, heads: list[list[Head]], text: str, keep: list[str]) -> DataFrame:
+    """`keep` and the probability of each head, by the classifier of the text's fold."""
 
     def measure(texts: pa.Array) -> list:
-        rows = features(texts.cast(pa.binary()).to_pylist())
-        logits = [[float(h.weights[r].sum() + h.bias) for r in rows] for h in heads]
+        bodies = texts.cast(pa.binary()).to_pylist()
+        rows = features(bodies)
+        mine = [heads[fold_of(digest_of(t))] for t in bodies]
+        logits = [[float(own[h].weights[r].sum() + own[h].bias) for own, r in zip(mine, rows)] for h in range(len(HEADS))]
         return [pa.array(1 / (1 + np.exp(-np.clip(np.array(x, float), -20, 20)))) for x in logits]
 
     return mapped(docs, text, keep, [(f"__{h}", T.DoubleType()) for h in HEADS], measure)
