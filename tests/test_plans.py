@@ -476,6 +476,23 @@ def test_a_reader_outlives_one_reload(warehouse):
     assert len(system.listStatus(path)) == 2  # this version and the last
 
 
+def test_a_cached_table_is_reloaded(warehouse):
+    df = _students(warehouse, 100)
+    warehouse.overwrite(STUDENTS, df, RUN_TS)
+    name = warehouse.name(STUDENTS)
+    warehouse.spark.catalog.cacheTable(name)
+    try:
+        assert warehouse.read(STUDENTS).count() == 100
+        warehouse.overwrite(STUDENTS, df.limit(7), RUN_TS)
+        assert warehouse.read(STUDENTS).count() == 7 and warehouse.spark.table(name).count() == 7
+        warehouse.append(STUDENTS, df.limit(2), RUN_TS)
+        assert warehouse.read(STUDENTS).count() == 9
+    finally:
+        warehouse.spark.catalog.uncacheTable(name)
+    warehouse.overwrite(STUDENTS, df.limit(5), RUN_TS)
+    assert warehouse.read(STUDENTS).count() == 5
+
+
 def test_a_layer_called_alone_keeps_its_log(warehouse, landing, tmp_path):
     audit = bronze.load(warehouse, landing)
     assert warehouse.read(LOAD_LOGS).where(F.col("run_id") == audit.run_id).count() == 6

@@ -17,7 +17,7 @@ from tierhouse.plans.audit import FAILED, INFO, SUCCESS, Audit, Step, load_summa
 from tierhouse.queries import layers
 from tierhouse.queries.registry import query
 from tierhouse.schemas import LOAD_LOGS, SILVER, Table
-from tierhouse.scratch import scratch_path
+from tierhouse.scratch import scratch_path, written
 from tierhouse.sources.csv import Landing, write_csv
 from tierhouse.sources.warehouse import Warehouse
 
@@ -177,7 +177,8 @@ def gold_append_fact(src):
         "erp_loc_a101": silver.locations(src.sql(layers.ERP_LOCATION)),
         "erp_px_cat_g1v2": silver.categories(src.sql(layers.ERP_CATEGORY)),
     }
-    lines, sales = silver.sales(src.sql(layers.CRM_SALES)), SILVER["crm_sales_details"]
+    # Both parts are taken from the lines as they are written once.
+    lines, sales = written(silver.sales(src.sql(layers.CRM_SALES)), "sales-lines"), SILVER["crm_sales_details"]
     late = F.pmod(F.xxhash64("sls_ord_num"), F.lit(3)) == 0
     builds["crm_sales_details"] = lines.where(~late)
     warehouse.create(*SILVER.values())

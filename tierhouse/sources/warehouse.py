@@ -134,7 +134,9 @@ class Warehouse:
             system.delete(path, True)
             raise
         self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{new}'")
-        self.spark.catalog.refreshTable(self.name(table))
+        # The switch itself makes Spark forget the old files; refreshing would list the new ones once more.
+        if self.spark.catalog.isCached(self.name(table)):
+            self.spark.catalog.refreshTable(self.name(table))
         self._keep_versions(table, old, new)
         return rows
 
