@@ -1,4 +1,14 @@
-"""From raw documents to a training mix: five stages, each written and read again."""
+"""From raw documents to a training mix: five stages, each written and read again.
+
+Defined cases: a null or blank text, like any of fewer than 50 words, goes in
+the first stage; without labels (or with too few) only the base rules judge
+there; rows that agree in id and text are one document, which the second stage
+keeps once; rows without an id are kept by it, as no component has their name;
+without a benchmark nothing is contaminated; a null source is a source of its
+own; null languages are a stratum of their own; an empty table of documents
+gives an empty mix. All columns of the table are carried along; the mix adds
+`copy`, or `copy_` if the table has a column of that name.
+"""
 
 from __future__ import annotations
 
