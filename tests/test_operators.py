@@ -271,6 +271,14 @@ def test_non_empty_checks(spark):
     assert lines == {"Check Passed: silver.a contains 6 records.", "Check Failed: silver.b has 0 rows!"}
 
 
+def test_column_counts_take_one_column_at_a_time(spark):
+    values = [(1, "a", 0.0), (1, None, -0.0), (2, "a", float("nan")), (None, "b", float("nan")), (None, None, None)]
+    df = spark.createDataFrame(values, "id long, name string, x double")
+    counted = lambda t: [tuple(part.first()) for part in validation.column_counts(t, ["id", "name", "x"])]
+    assert counted(df) == [("id", 3, 2), ("name", 3, 2), ("x", 4, 2)]
+    assert counted(df.limit(0)) == [("id", 0, 0), ("name", 0, 0), ("x", 0, 0)]
+
+
 def test_loops(spark):
     ten = spark.range(1, 11).withColumn("k", F.lit(1))
     done = loops.skip_and_stop(ten, ["k"], "id", F.col("id") == 5, F.col("id") == 8)

@@ -5,8 +5,10 @@ import os
 import pytest
 
 import __spark_entry__ as spark_entry
+from tests.conftest import rows
 from tests.oracle import compare, connect
 from tierhouse import queries as registered
+from tierhouse.queries import jobs
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -26,6 +28,16 @@ def test_query_agrees_with_sql(spark, con, name):
     assert not problem
 
 
+def test_manifest_counts_do_not_hold_all_columns_in_a_task(spark, tmp_path):
+    """No row becomes one for each column, which is what several distinct counts in one aggregate do."""
+    for table, columns in jobs._LANDED.items():
+        values = [tuple([v] * len(columns)) for v in (1, 1, 2, None)]
+        spark.createDataFrame(values, ", ".join(f"{c} bigint" for c in columns)).write.parquet(f"{tmp_path}/{table}.parquet")
+    counted = registered.queries()["src_manifest"](spark, str(tmp_path))
+    assert "Expand" not in counted._jdf.queryExecution().executedPlan().toString()
+    assert rows(counted) == sorted(((t, c, 3, 2) for t, columns in jobs._LANDED.items() for c in columns), key=repr)
+
+
 def test_entry(spark):
     df = spark_entry.entry(spark)
     assert df.columns == ["customer_key", "customer_id", "customer_name", "segment", "nation", "region"]
