@@ -446,6 +446,28 @@ def test_an_append_reads_its_day_its_months_and_nothing_else(loaded):
     assert [r.order_number for r in again.collect()] == ["A1"]  # one more of it than the fact has
 
 
+def test_lines_of_new_orders_are_not_compared_with_the_fact(loaded):
+    gold.load(loaded, RUN_TS, AS_OF, gold.CREATE)
+    fact = loaded.read(GOLD["fact_sales"])
+    lines = written(fact.drop("order_month").withColumn("order_number", F.concat(F.lit("new "), "order_number")), "lines")
+    new = gold.missing_lines(lines, fact)
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "fact_sales" not in plan
+    assert rows(new) == rows(lines)
+
+
+def test_an_order_without_number_or_date_is_compared_too(loaded):
+    gold.load(loaded, RUN_TS, AS_OF, gold.CREATE)
+    fact = loaded.read(GOLD["fact_sales"])
+    bare = lambda c: F.lit(None).cast(fact.schema[c].dataType).alias(c) if c in ("order_number", "order_date", "order_month") else F.col(c)
+    nameless = written(fact.limit(1).select(*map(bare, fact.columns)), "nameless")
+    lines = nameless.unionAll(nameless).drop("order_month")
+    assert gold.missing_lines(lines, fact).count() == 2
+    assert gold.missing_lines(lines, fact.unionAll(nameless)).count() == 1
+    orders = lines.select("order_number", "order_date")
+    assert gold.missing_lines(lines, fact.unionAll(nameless).unionAll(nameless), orders).isEmpty()
+
+
 def test_a_repeated_append_replaces_its_own_rows(loaded):
     df = _students(loaded, 5)
     loaded.overwrite(STUDENTS, df, RUN_TS)
